@@ -19,6 +19,7 @@ def local_session(name: str = "ebbline", cores: str = "*", **conf: str) -> Spark
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
     )
     for key, value in conf.items():
         builder = builder.config(key.replace("__", "."), value)
