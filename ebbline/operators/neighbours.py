@@ -8,6 +8,10 @@ from pyspark.sql import functions as F
 from ebbline.fixed_values import IMPUTE_NEIGHBOURS
 from ebbline.functions.expressions import named
 from ebbline.operators.ordered import running_totals
+from ebbline.workspace import stage
+
+# With no more (probe, line) pairs than this, finding radii first costs more than it saves.
+EVERY_LINE_UP_TO = 5_000_000
 
 
 def _point(line: str, place: str) -> Column:
@@ -45,7 +49,7 @@ def _positions(points: DataFrame, probes: DataFrame) -> DataFrame:
 
 def _around(donors: DataFrame, probes: DataFrame, k: int) -> DataFrame:
     """Join every probe (with column `at`) to the `k` donor points before and after `at` in point order."""
-    placed = _positions(donors, probes.select(F.col("at").alias("point")))
+    placed = stage(_positions(donors, probes.select(F.col("at").alias("point"))), "positions")
     slots = placed.where(F.col("here") == 1).select("point", F.col("upto_here").alias("slot"))
     slotted = slots.join(donors, "point").select("slot", F.col("point").alias("donor"), "mates")
     wanted = (
@@ -74,27 +78,32 @@ def _nearest(candidates: DataFrame, k: int) -> DataFrame:
     )
 
 
-def imputed_points(donors: DataFrame, probes: DataFrame, k: int = IMPUTE_NEIGHBOURS) -> DataFrame:
+def imputed_points(
+    donors: DataFrame, probes: DataFrame, k: int = IMPUTE_NEIGHBOURS, every_line_up_to: int = EVERY_LINE_UP_TO
+) -> DataFrame:
     """(point, imputed) for distinct probe points: mean value of the `k` nearest donor rows.
 
     Donor points are ordered by (line, place). The neighbours of a probe in that order bound its
     radius. On each line the nearest points are the ones next to the probe's own place, so looking
     at `k` points on both sides, on every whole-numbered line within the radius, finds all of the
-    nearest. Each look-up is an equi-join on a position, never a comparison with all donors.
+    nearest. Each look-up is an equi-join on a position, never a comparison with all donors. The
+    tables between the rounds hold points only and are staged, as both rounds read them repeatedly.
     """
-    bounded = _nearest(_around(donors, probes.select("point", F.col("point").alias("at")), k), k)
-    radius = bounded.groupBy("point").agg(
-        F.when(F.count("*") >= k, F.sqrt(F.max("square"))).alias("radius")
-    )
-    span = donors.agg(F.min("point.line").alias("low"), F.max("point.line").alias("high"))
-    low, high = span.select("low").scalar(), span.select("high").scalar()
-    reach = F.coalesce("radius", F.lit(float("inf")))
-    lines = (
-        probes.join(radius, "point", "left")
-        .withColumn("first", F.greatest(low, F.col("point.line") - reach))
-        .withColumn("last", F.least(high, F.col("point.line") + reach))
-        .withColumn("line", F.explode(F.sequence(F.ceil("first"), F.floor("last"))))
-        .select("point", F.struct(F.col("line").cast("double").alias("line"), F.col("point.place")).alias("at"))
+    donors = stage(donors, "donors")
+    probes = stage(probes, "probes")
+    low, high = donors.agg(F.min("point.line"), F.max("point.line")).head()
+    if low is None:
+        return probes.select("point", F.lit(None).cast("double").alias("imputed"))
+    if probes.count() * (high - low + 1) <= every_line_up_to:
+        reached = probes.withColumn("reach", F.lit(float("inf")))
+    else:
+        near = _nearest(_around(donors, probes.select("point", F.col("point").alias("at")), k), k)
+        radius = near.groupBy("point").agg(F.when(F.count("*") >= k, F.sqrt(F.max("square"))).alias("reach"))
+        reached = stage(probes.join(radius, "point", "left").fillna(float("inf"), ["reach"]), "reached")
+    first = F.greatest(F.lit(low), F.col("point.line") - F.col("reach"))
+    last = F.least(F.lit(high), F.col("point.line") + F.col("reach"))
+    lines = reached.withColumn("line", F.explode(F.sequence(F.ceil(first), F.floor(last)))).select(
+        "point", F.struct(F.col("line").cast("double").alias("line"), F.col("point.place").alias("place")).alias("at")
     )
     candidates = _around(donors, lines, k).where(F.col("donor.line") == F.col("at.line"))
     return _nearest(candidates, k).groupBy("point").agg((F.sum("value") / F.count("*")).alias("imputed"))
@@ -105,7 +114,8 @@ def impute(
 ) -> DataFrame:
     """Fill `target` where missing; rows that have a value pass through without a shuffle.
 
-    `line` must hold whole numbers (months); rows without coordinates stay missing.
+    `line` must hold whole numbers (months); rows without coordinates stay missing. The neighbours
+    are found at once, so `df` should be a staged table.
     """
     missing = named(target).isNull()
     gaps = df.where(missing).withColumn("point", _point(line, place))

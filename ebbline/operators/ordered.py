@@ -5,20 +5,18 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-_FANOUT = 31  # heads per level; 31 * 31 - 1 = 960 cuts stay under the window-group-limit threshold
-
-
-def _two_level(cuts: Column) -> list[Column]:
-    """Sorted cuts as chunks of `_FANOUT`, and the first cut of each chunk."""
-    starts = F.sequence(F.lit(0), F.floor((F.size(cuts) - 1) / _FANOUT).cast("int"))
-    return [
-        F.transform(starts, lambda i: F.get(cuts, i * _FANOUT)).alias("_heads"),
-        F.transform(starts, lambda i: F.slice(cuts, i * _FANOUT + 1, _FANOUT)).alias("_chunks"),
-    ]
+_CUTS = 960  # stays under the window-group-limit threshold, so each task sends at most this many
+_STEPS = [512, 256, 128, 64, 32, 16, 8, 4, 2, 1]
 
 
 def _cuts_up_to(cuts: Column, value: Column) -> Column:
-    return F.size(F.filter(cuts, lambda cut: cut <= value))
+    """How many of the sorted `cuts` are <= `value`, by bisection."""
+    last = F.reduce(
+        F.array(*[F.lit(s) for s in _STEPS]),
+        F.lit(-1),
+        lambda found, step: F.when(F.get(cuts, found + step) <= value, found + step).otherwise(found),
+    )
+    return last + 1
 
 
 def running_totals(df: DataFrame, by: list[str], order: str, totals: list[str]) -> DataFrame:
@@ -33,17 +31,14 @@ def running_totals(df: DataFrame, by: list[str], order: str, totals: list[str])
     cuts = (
         df.select(*by, order)
         .withColumn("_pick", F.row_number().over(by_hash))
-        .where(F.col("_pick") <= _FANOUT * _FANOUT - 1)
+        .where(F.col("_pick") <= _CUTS)
         .groupBy(*by)
         .agg(F.array_sort(F.collect_list(order)).alias("_cuts"))
-        .select(*by, *_two_level(F.col("_cuts")))
     )
     ranged = (
         df.join(F.broadcast(cuts), by)
-        .withColumn("_chunk", _cuts_up_to(F.col("_heads"), F.col(order)) - 1)
-        .withColumn("_inside", _cuts_up_to(F.get("_chunks", F.col("_chunk")), F.col(order)))
-        .withColumn("_range", F.when(F.col("_chunk") < 0, 0).otherwise(F.col("_chunk") * _FANOUT + F.col("_inside")))
-        .drop("_heads", "_chunks", "_chunk", "_inside")
+        .withColumn("_range", _cuts_up_to(F.col("_cuts"), F.col(order)))
+        .drop("_cuts")
     )
     earlier = Window.partitionBy(*by).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.partitionBy(*by)
