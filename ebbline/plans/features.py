@@ -108,3 +108,8 @@ class FeaturePipeline:
 
 def numeric_features(df: DataFrame) -> list[str]:
     return [c for c in columns_of(df, numeric=True) if c not in (KEY, TARGET)]
+
+
+def with_new_records(reference: DataFrame, records: DataFrame) -> DataFrame:
+    """Known rows and new records in one table; a record's missing fields are NULL."""
+    return reference.unionByName(records, allowMissingColumns=True)
