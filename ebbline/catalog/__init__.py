@@ -6,7 +6,7 @@ from importlib import import_module
 
 from ebbline.catalog.registry import ORACLES, QUERIES, Query
 
-_MODULES = ["profile_queries", "prepare_queries", "table_queries", "evaluate_queries"]
+_MODULES = ["profile_queries", "prepare_queries", "table_queries", "evaluate_queries", "model_queries"]
 
 
 def _load() -> None:
