@@ -16,7 +16,8 @@ def _cuts_up_to(cuts: Column, value: Column) -> Column:
         F.lit(-1),
         lambda found, step: F.when(F.get(cuts, found + step) <= value, found + step).otherwise(found),
     )
-    return last + 1
+    # Never NULL, and marked so: else a join on it would filter by computing it once more.
+    return F.coalesce(last + 1, F.lit(0))
 
 
 def running_totals(df: DataFrame, by: list[str], order: str, totals: list[str]) -> DataFrame:
