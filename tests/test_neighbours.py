@@ -36,8 +36,11 @@ def imputed(spark, pdf, **options):
     return {r.id: r.y for r in out.itertuples() if r.id in set(pdf[pdf["y"].isna()]["id"])}
 
 
-@pytest.mark.parametrize("options", [{}, {"every_line_up_to": 0}])
-@pytest.mark.parametrize("case", ["spread", "hot_point", "few_lines"])
+BY_RADIUS = {"every_line_up_to": 0}
+
+
+@pytest.mark.parametrize(
+    "case,options", [("spread", {}), ("spread", BY_RADIUS), ("hot_point", {}), ("few_lines", BY_RADIUS)])
 def test_impute_matches_brute_force(spark, case, options):
     draw = random.Random(case)
     rows = []
