@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from functools import lru_cache
+from functools import lru_cache, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,9 +10,9 @@ from pyspark.sql import functions as F
 from ebbline.catalog.oracle_base import over_base
 from ebbline.catalog.registry import churn, register, staged_churn
 from ebbline.catalog.table_queries import customers, instant, plain
-from ebbline.fixed_values import KEY, TARGET
+from ebbline.fixed_values import KEY
 from ebbline.operators.evaluate import classification_metrics
-from ebbline.plans import registry, scoring, training
+from ebbline.plans import analysis, registry, scoring, training
 from ebbline.plans.models import BY_NAME, scored
 from ebbline.sources.requests import parse_requests, to_requests
 from ebbline.streaming.score import request_stream, stream_scores, stream_scores_and_alerts
@@ -44,7 +44,7 @@ def compared(spark, sf_dir) -> training.Comparison:
 @lru_cache(maxsize=4)
 def _bundle(app: str, sf_dir: str) -> registry.ModelBundle:
     data, results, spark = _prepared(app, sf_dir), _compared(app, sf_dir), SparkSession.active()
-    best = results.best if results.best in results.models else _BUNDLE_MODELS[0]
+    best = results.best_saved()
     made = registry.ModelBundle(best, results.models[best], data.features, data.pipeline, data.scale)
     path = new_path(spark, "bundle")
     made.save(spark, path)
@@ -114,15 +114,17 @@ def model_registry(spark, sf_dir):
 @register("executive_summary")
 def executive_summary(spark, sf_dir):
     results, data = compared(spark, sf_dir), prepared(spark, sf_dir)
-    best = results.metrics.where(F.col("model") == results.best).select(
-        F.lit(1).alias("_one"), F.col("model").alias("best_model"), "roc_auc", "precision", "recall", "f1"
-    )
-    facts = churn(spark, sf_dir).agg(
-        F.lit(1).alias("_one"),
-        F.count("*").alias("customers"),
-        (F.count_if(F.col(TARGET) == "Yes") / F.count("*")).alias("churn_rate"),
-    )
-    return facts.withColumn("features_used", F.lit(len(data.features))).join(best, "_one").drop("_one")
+    return analysis.executive_summary(churn(spark, sf_dir), results, len(data.features))
+
+
+@register("run_analysis")
+def run_analysis(spark, sf_dir):
+    """The complete analysis with the quick models; every report with its number of rows."""
+    done = analysis.run_analysis(churn(spark, sf_dir), new_path(spark, "analysis"), instant(), _BUNDLE_MODELS)
+    counts = [
+        done.report(spark, name).agg(F.lit(name).alias("report"), F.count("*").alias("rows")) for name in done.reports
+    ]
+    return reduce(DataFrame.unionByName, counts)
 
 
 @register("batch_scoring")

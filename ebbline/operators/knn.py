@@ -160,15 +160,22 @@ class KnnIndex:
                 return pd.DataFrame({c: [] for c in ["_key", "neighbour", "distance", *payload]})
             away = distances(_matrix(asking["_vector"]), _matrix(giving["vector"]), metric)
             names = giving["neighbour"].to_numpy()
-            out = []
-            for who, row in zip(asking["_key"].to_numpy(), away):
+            away = distances(_matrix(asking["_vector"]), _matrix(giving["vector"]), metric)
+            asked_rows, given_rows = [], []
+            for i, who in enumerate(asking["_key"].to_numpy()):
+                row = away[i]
                 if other_than_self:
-                    row = np.where(names == who, np.inf, row)
-                order = np.lexsort((names, row))[:k]
-                order = order[np.isfinite(row[order])]
-                chosen = giving.iloc[order][["neighbour", *payload]]
-                out.append(chosen.assign(_key=who, distance=row[order]))
-            return pd.concat(out)[["_key", "neighbour", "distance", *payload]]
+                    row[names == who] = np.inf
+                limit = np.partition(row, k - 1)[k - 1] if k < len(row) else np.inf
+                near = np.flatnonzero((row <= limit) & np.isfinite(row))
+                near = near[np.lexsort((names[near], row[near]))][:k]
+                asked_rows.append(np.full(len(near), i))
+                given_rows.append(near)
+            i, j = np.concatenate(asked_rows), np.concatenate(given_rows)
+            chosen = giving.iloc[j][["neighbour", *payload]].reset_index(drop=True)
+            return chosen.assign(_key=asking["_key"].to_numpy()[i], distance=away[i, j])[
+                ["_key", "neighbour", "distance", *payload]
+            ]
 
         group = ["_cell", "_block", "_part"]
         found = left.groupBy(*group).cogroup(right.groupBy(*group)).applyInPandas(best, schema)

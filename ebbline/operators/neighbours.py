@@ -23,7 +23,8 @@ def donor_points(
 ) -> DataFrame:
     """Rows with a value, as (point, mates): the `k` first rows by key at each coordinate pair.
 
-    Further rows at the same point can never be among the `k` nearest, as ties go by key.
+    Further rows at the same point can never be among the `k` nearest, as ties go by key. Staged,
+    as every look-up reads them several times.
     """
     rows = df.where(named(target).isNotNull() & named(line).isNotNull() & named(place).isNotNull()).select(
         _point(line, place).alias("point"),
@@ -31,12 +32,13 @@ def donor_points(
         named(target).cast("double").alias("value"),
     )
     first = F.row_number().over(Window.partitionBy("point").orderBy("key"))
-    return (
+    points = (
         rows.withColumn("_nth", first)
         .where(F.col("_nth") <= k)
         .groupBy("point")
         .agg(F.array_sort(F.collect_list(F.struct("key", "value"))).alias("mates"))
     )
+    return stage(points, "donors")
 
 
 def _positions(points: DataFrame, probes: DataFrame) -> DataFrame:
@@ -87,9 +89,8 @@ def imputed_points(
     radius. On each line the nearest points are the ones next to the probe's own place, so looking
     at `k` points on both sides, on every whole-numbered line within the radius, finds all of the
     nearest. Each look-up is an equi-join on a position, never a comparison with all donors. The
-    tables between the rounds hold points only and are staged, as both rounds read them repeatedly.
+    small tables of points between the rounds are staged too.
     """
-    donors = stage(donors, "donors")
     probes = stage(probes, "probes")
     low, high = donors.agg(F.min("point.line"), F.max("point.line")).head()
     if low is None:

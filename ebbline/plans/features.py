@@ -16,7 +16,6 @@ from ebbline.operators.encode import MAX_LEVELS, fit_levels, indicator_names, on
 from ebbline.operators.neighbours import donor_points, impute
 from ebbline.operators.profile import columns_of
 from ebbline.schemas import ATTRIBUTE_NAMES
-from ebbline.workspace import stage
 
 
 def numeric_charges(df: DataFrame) -> DataFrame:
@@ -70,7 +69,7 @@ class FeaturePipeline:
         fixed = {"tenure_group": TENURE_GROUP_LABELS, "customer_lifecycle": LIFECYCLE_LABELS}
         levels = {c: found.get(c) or fixed[c] for c in ONE_HOT_COLUMNS if c in found or c in fixed}
         donors = donor_points(numeric_charges(df), "TotalCharges", "tenure", "MonthlyCharges", KEY)
-        return cls(levels, stage(donors, "donors"))
+        return cls(levels, donors)
 
     @property
     def features(self) -> list[str]:

@@ -23,6 +23,8 @@ from ebbline.fixed_values import (
 from ebbline.operators.knn import KnnIndex, vote
 
 SCORED = ["model", "key", "label", "probability", "prediction"]
+TOLERANCE = 1e-4  # of the logistic solver; each further iteration is a pass over all rows
+TREE_MEMORY_MB = 1024  # for split statistics: more nodes per pass, so fewer passes
 _UNLIMITED_DEPTH = 30  # Spark's deepest tree
 
 
@@ -59,13 +61,13 @@ class ModelSpec:
 def logistic(point: dict, rows: int) -> Estimator:
     """C is the inverse penalty on the summed loss; Spark penalises the mean loss."""
     return LogisticRegression(
-        maxIter=1000, regParam=1.0 / (point["C"] * rows), standardization=False,
+        maxIter=1000, tol=TOLERANCE, regParam=1.0 / (point["C"] * rows), standardization=False,
         elasticNetParam={"l1": 1.0, "l2": 0.0}.get(point["penalty"], point.get("l1_ratio", 0.0)),
     )
 
 
 def _tree_settings(point: dict) -> dict:
-    settings = {"seed": SEED, "maxDepth": point["max_depth"] or _UNLIMITED_DEPTH}
+    settings = {"seed": SEED, "maxDepth": point["max_depth"] or _UNLIMITED_DEPTH, "maxMemoryInMB": TREE_MEMORY_MB}
     if "min_samples_leaf" in point:
         settings["minInstancesPerNode"] = point["min_samples_leaf"]
     if point.get("class_weight") == "balanced":
@@ -85,7 +87,7 @@ def boosted(point: dict, rows: int) -> Estimator:
     columns = point.get("colsample_bytree", 1.0)
     return GBTClassifier(
         maxIter=point["n_estimators"], stepSize=point["learning_rate"], maxDepth=point["max_depth"],
-        subsamplingRate=point["subsample"], seed=SEED,
+        subsamplingRate=point["subsample"], seed=SEED, maxMemoryInMB=TREE_MEMORY_MB,
         featureSubsetStrategy="all" if columns == 1.0 else str(columns),
     )
 

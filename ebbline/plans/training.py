@@ -7,6 +7,7 @@ from functools import reduce
 from multiprocessing.pool import ThreadPool
 from typing import Any
 
+from pyspark.ml import Model
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import VectorAssembler
@@ -22,7 +23,7 @@ from ebbline.operators.select import (
 )
 from ebbline.operators.split import stratified_folds, train_test, with_class_weight
 from ebbline.plans.features import FeaturePipeline
-from ebbline.plans.models import BY_NAME, SPECS, ModelSpec, scored
+from ebbline.plans.models import BY_NAME, SPECS, TOLERANCE, TREE_MEMORY_MB, ModelSpec, scored
 from ebbline.workspace import stage
 
 CV_SCHEMA = "model string, grid_point string, folds int, mean_roc_auc double, error string"
@@ -36,7 +37,8 @@ def vectors(df: DataFrame, features: list[str], out: str = "features") -> DataFr
 
 def tree_importance(df: DataFrame, features: list[str], label: str, trees: int = 100) -> DataFrame:
     """Impurity importance of each feature in a random forest."""
-    model = RandomForestClassifier(numTrees=trees, seed=SEED, labelCol=label).fit(vectors(df, features))
+    forest = RandomForestClassifier(numTrees=trees, seed=SEED, labelCol=label, maxMemoryInMB=TREE_MEMORY_MB)
+    model = forest.fit(vectors(df, features))
     rows = [(f, float(s)) for f, s in zip(features, model.featureImportances.toArray())]
     return df.sparkSession.createDataFrame(rows, "feature string, score double")
 
@@ -45,7 +47,8 @@ def l1_coefficients(df: DataFrame, features: list[str], label: str, c: float = 1
     """Coefficients of an L1-penalised logistic regression and which features they keep."""
     rows = df.count()
     model = LogisticRegression(
-        labelCol=label, maxIter=1000, elasticNetParam=1.0, regParam=1.0 / (c * rows), standardization=False
+        labelCol=label, maxIter=1000, tol=TOLERANCE, elasticNetParam=1.0, regParam=1.0 / (c * rows),
+        standardization=False,
     ).fit(vectors(df, features))
     found = [(f, float(b), abs(float(b)) >= 1e-5) for f, b in zip(features, model.coefficients.toArray())]
     return df.sparkSession.createDataFrame(found, "feature string, coefficient double, selected boolean")
@@ -161,6 +164,11 @@ class Comparison:
     def best(self) -> str:
         return best_model(self.metrics).head()["model"]
 
+    def best_saved(self) -> str:
+        """The best model among those with a saved form, that is without the vote and the custom ones."""
+        names = [n for n, m in self.models.items() if isinstance(m, Model)]
+        return best_model(self.metrics.where(F.col("model").isin(names))).head()["model"]
+
 
 def train_models(data: TrainingSet, names: list[str] | None = None, grid: str = "short") -> Comparison:
     """Grid search, refit and test scores of every model, and the soft vote of the first three."""

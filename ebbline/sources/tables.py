@@ -30,6 +30,13 @@ def read_jdbc(spark: SparkSession, table: str, options: dict[str, str]) -> DataF
     return spark.read.format("jdbc").options(**options).option("dbtable", table).load()
 
 
+def write_jdbc(df: DataFrame, table: str, options: dict[str, str], batch_rows: int = 10_000) -> None:
+    """Append to a table of a configured database, in batches, every partition on its own connection."""
+    df.write.format("jdbc").options(**options).option("dbtable", table).option("batchsize", batch_rows).mode(
+        "append"
+    ).save()
+
+
 def create_tables(spark: SparkSession, root: str, prefix: str = "") -> dict[str, str]:
     """Create the three tables under `root` if absent; returns their names."""
     names = {}
@@ -59,7 +66,10 @@ def active_customers(customers: DataFrame) -> DataFrame:
 
 
 def reload_customers(customers: DataFrame, root: str) -> tuple[DataFrame, DataFrame]:
-    """Replace the customers table by `customers` and empty the predictions that depend on it."""
+    """Replace the customers table by `customers` and empty the predictions that depend on it.
+
+    `customers` must not be read from `root` itself.
+    """
     spark = customers.sparkSession
     customers.write.mode("overwrite").parquet(f"{root}/customers")
     spark.createDataFrame([], PREDICTIONS).write.mode("overwrite").parquet(f"{root}/churn_predictions")

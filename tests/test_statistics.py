@@ -119,3 +119,9 @@ def test_validation(spark):
         profile.require_valid(good.drop("Churn"))
     with pytest.raises(ValueError):
         profile.require_valid(good.limit(0))
+
+
+def test_levels_are_limited_before_the_shuffle(spark):
+    """The default limit must stay below the threshold up to which Spark prunes in each task."""
+    from ebbline.operators.encode import MAX_LEVELS
+    assert MAX_LEVELS + 1 <= int(spark.conf.get("spark.sql.optimizer.windowGroupLimitThreshold"))
