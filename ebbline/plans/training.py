@@ -102,12 +102,10 @@ def prepare_training(churn: DataFrame, select: bool = True) -> TrainingSet:
     ready = vectors(scale.transform(halves), features).select(
         F.col(KEY).alias("key"), F.col(TARGET).cast("double").alias("label"), "split", "features"
     )
-    train = stratified_folds(ready.where("split = 'train'"), "key", "label")
-    test = ready.where("split = 'test'").withColumn("fold", F.lit(None).cast("int"))
-    both = stage(train.unionByName(test), "training-set")
-    weighted = with_class_weight(both.where("split = 'train'"), "label")
-    rows = weighted.unionByName(both.where("split = 'test'").withColumn("class_weight", F.lit(1.0)))
-    return TrainingSet(stage(rows, "weighted-set"), features, pipeline, scale)
+    weighted = with_class_weight(ready.where("split = 'train'"), "label")
+    train = stratified_folds(weighted, "key", "label")
+    test = ready.where("split = 'test'").withColumns({"class_weight": F.lit(1.0), "fold": F.lit(None).cast("int")})
+    return TrainingSet(stage(train.unionByName(test), "training-set"), features, pipeline, scale)
 
 
 def _roc_auc(model: Any, rows: DataFrame) -> float:
