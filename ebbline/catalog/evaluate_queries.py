@@ -12,6 +12,7 @@ from ebbline.fixed_values import HIGH_RISK_CONTRACT, HIGH_RISK_PAYMENT, KEY, RIS
 from ebbline.functions import expressions as e
 from ebbline.operators import evaluate, knn, monitor, split
 from ebbline.plans import registry, scoring
+from ebbline.workspace import stage
 
 MODELS = ["alpha", "beta", "gamma"]
 
@@ -203,7 +204,7 @@ SELECT "column", 'chi_square', {r6_sql('''sum(
            count(*) OVER (PARTITION BY "Churn") AS n FROM base) AS r ON id = base."customerID")"""))
 def drift_check(spark, sf_dir):
     """Test part against training part."""
-    halves = split.train_test(staged_churn(spark, sf_dir), KEY, TARGET)
+    halves = stage(split.train_test(staged_churn(spark, sf_dir), KEY, TARGET), "halves")
     train, test = halves.where("split = 'train'"), halves.where("split = 'test'")
     return rounded(monitor.drift_check(train, test, _DRIFT_NUMBERS, _DRIFT_TEXT), ["statistic"])
 
@@ -213,7 +214,7 @@ SELECT 'alpha' AS champion, {r6_sql('a.roc_auc')} AS champion_auc, 'beta' AS cha
   b.roc_auc > a.roc_auc AS deploy
 FROM metrics AS a JOIN metrics AS b ON a.model = 'alpha' AND b.model = 'beta'""", *_TO_METRICS))
 def champion_challenger(spark, sf_dir):
-    found = metrics(spark, sf_dir)
+    found = stage(metrics(spark, sf_dir), "metrics")
     pair = monitor.champion_challenger(found.where("model = 'alpha'"), found.where("model = 'beta'"))
     return rounded(pair, ["champion_auc", "challenger_auc"])
 

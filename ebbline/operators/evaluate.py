@@ -15,13 +15,16 @@ def ratio(top: Column, bottom: Column) -> Column:
 
 
 def threshold_counts(scored: DataFrame) -> DataFrame:
-    """Per model and distinct probability: rows at it (n0, n1), and hits and false alarms at or above it."""
+    """Per model and distinct probability: rows at it (n0, n1), those of them predicted positive
+    (called0, called1), and hits and false alarms at or above it. All other tables here follow."""
+    label, called = F.col("label"), F.col("prediction")
     counts = scored.groupBy("model", "probability").agg(
-        F.sum(1 - F.col("label")).alias("n0"), F.sum("label").alias("n1")
+        F.sum(1 - label).alias("n0"), F.sum(label).alias("n1"),
+        F.sum((1 - label) * called).alias("called0"), F.sum(label * called).alias("called1"),
     )
     ranked = running_totals(counts, ["model"], "probability", ["n0", "n1"])
     return ranked.select(
-        "model", "probability", "n0", "n1",
+        "model", "probability", "n0", "n1", "called0", "called1",
         (F.col("all_n1") - F.col("upto_n1") + F.col("n1")).alias("tp"),
         (F.col("all_n0") - F.col("upto_n0") + F.col("n0")).alias("fp"),
         F.col("all_n1").alias("positives"),
@@ -29,21 +32,29 @@ def threshold_counts(scored: DataFrame) -> DataFrame:
     )
 
 
-def ranking_metrics(scored: DataFrame) -> DataFrame:
-    """ROC-AUC (ties count half) and average precision (step sum) per model."""
+def _ranking(thresholds: DataFrame) -> DataFrame:
     n1, n0 = F.col("n1").cast("double"), F.col("n0").cast("double")
     below = F.col("negatives") - F.col("fp")
     precision = F.col("tp") / (F.col("tp") + F.col("fp"))
-    return threshold_counts(scored).groupBy("model").agg(
+    return thresholds.groupBy("model").agg(
         F.sum(n1 * (below + n0 / 2)).alias("_pairs"),
         F.sum(n1 * precision).alias("_steps"),
-        F.max("positives").cast("double").alias("_p"),
-        F.max("negatives").cast("double").alias("_n"),
-    ).select(
-        "model",
-        F.when(F.col("_p") * F.col("_n") > 0, F.col("_pairs") / (F.col("_p") * F.col("_n"))).alias("roc_auc"),
-        ratio(F.col("_steps"), F.col("_p")).alias("avg_precision"),
-    )
+        F.max("positives").alias("_p"),
+        F.max("negatives").alias("_n"),
+        F.sum("called1").alias("tp"),
+        F.sum("called0").alias("fp"),
+    ).withColumns({
+        "roc_auc": F.when(
+            (F.col("_p") > 0) & (F.col("_n") > 0),
+            F.col("_pairs") / (F.col("_p").cast("double") * F.col("_n").cast("double")),
+        ),
+        "avg_precision": ratio(F.col("_steps"), F.col("_p")),
+    })
+
+
+def ranking_metrics(scored: DataFrame) -> DataFrame:
+    """ROC-AUC (ties count half) and average precision (step sum) per model."""
+    return _ranking(threshold_counts(scored)).select("model", "roc_auc", "avg_precision")
 
 
 def confusion(scored: DataFrame) -> DataFrame:
@@ -62,17 +73,18 @@ def _scores(tp: Column, fp: Column, fn: Column) -> tuple[Column, Column]:
 
 
 def classification_metrics(scored: DataFrame) -> DataFrame:
-    """Accuracy, precision, recall, F1, ROC-AUC and average precision per model."""
-    tp, fp, fn, tn = (F.col(c) for c in ("tp", "fp", "fn", "tn"))
-    precision, recall = _scores(tp, fp, fn)
-    labelled = confusion(scored).select(
+    """Accuracy, precision, recall, F1, ROC-AUC and average precision per model, from one pass."""
+    tp, fp, positives, negatives = (F.col(c) for c in ("tp", "fp", "_p", "_n"))
+    precision, recall = _scores(tp, fp, positives - tp)
+    return _ranking(threshold_counts(scored)).select(
         "model",
-        ((tp + tn) / (tp + fp + fn + tn)).alias("accuracy"),
+        ((tp + negatives - fp) / (positives + negatives)).alias("accuracy"),
         precision.alias("precision"),
         recall.alias("recall"),
-        ratio(2 * tp, 2 * tp + fp + fn).alias("f1"),
+        ratio(2 * tp, tp + fp + positives).alias("f1"),
+        "roc_auc",
+        "avg_precision",
     )
-    return labelled.join(ranking_metrics(scored), "model")
 
 
 def per_class_metrics(scored: DataFrame) -> DataFrame:

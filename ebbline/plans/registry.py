@@ -66,10 +66,8 @@ def register(metrics: DataFrame, at: Column, path: str) -> None:
 
 def model_info(performance: DataFrame, features: int) -> DataFrame:
     """The best model of the latest training run: name, metrics, date and feature count."""
-    latest = performance.agg(F.max("training_date")).scalar()
-    current = performance.where(F.col("training_date") == latest)
     return (
-        current.orderBy(F.col("roc_auc").desc_nulls_last(), "model_name")
+        performance.orderBy(F.col("training_date").desc(), F.col("roc_auc").desc_nulls_last(), "model_name")
         .limit(1)
         .select(
             F.col("model_name").alias("best_model_name"), "accuracy", "precision_score", "recall_score",
