@@ -62,7 +62,9 @@ def dataset_shape(spark, sf_dir):
     return profile.dataset_shape(churn(spark, sf_dir))
 
 
-@register("columns_by_type")
+@register("columns_by_type", over_base(" UNION ALL ".join(
+    f"""SELECT '{f.name}' AS "column", count("{f.name}") AS non_null,
+  '{"categorical" if f.dataType.simpleString() == "string" else "numeric"}' AS kind FROM base""" for f in CHURN_TABLE.fields)))
 def columns_by_type(spark, sf_dir):
     return profile.columns_by_type(churn(spark, sf_dir))
 
