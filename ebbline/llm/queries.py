@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ebbline.llm.exact import exact_duplicates
+from ebbline.llm.simhash import simhash_groups
 from ebbline.llm.sharding import stratified_shards
 from ebbline.llm.tables import read_table
 from ebbline.llm.warc import read_archive, write_archive
@@ -40,6 +41,11 @@ checked AS (
     FROM documents AS d, steps)"""
 
 
+@_query("op7_simhash")
+def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_groups(read_table(spark, sf_dir, "documents"), width=3, max_bits=3)
+
+
 @_query("op8_sharding", f"""
 WITH {_CRC32},
 keyed AS (
