@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ebbline.llm.decontaminate import contamination
 from ebbline.llm.exact import exact_duplicates
 from ebbline.llm.simhash import simhash_groups
 from ebbline.llm.sharding import stratified_shards
@@ -41,6 +42,43 @@ checked AS (
     FROM documents AS d, steps)"""
 
 
+@_query("op1_decontamination", r"""
+WITH low AS (
+    SELECT 'd' AS kind, doc_id::VARCHAR AS id, translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t
+    FROM documents UNION ALL
+    SELECT 'b', item_id::VARCHAR, translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') FROM benchmark),
+w AS (
+    SELECT kind, id, coalesce(regexp_extract_all(t, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []::VARCHAR[]) AS w FROM low),
+tests AS (
+    SELECT DISTINCT id AS item_id, least(10, len(w)) AS width, array_to_string(w[i:i + least(10, len(w)) - 1], ' ') AS win
+    FROM w, unnest(range(1, len(w) - least(10, len(w)) + 2)) AS r(i) WHERE kind = 'b' AND len(w) > 0),
+widths AS (SELECT DISTINCT width FROM tests),
+places AS (
+    SELECT id, i, width, array_to_string(w[i:i + width - 1], ' ') AS win
+    FROM (SELECT id, w, width, unnest(range(1, len(w) - width + 2)) AS i FROM w, widths WHERE kind = 'd')),
+found AS (SELECT p.id, p.i, t.width, t.item_id FROM places AS p JOIN tests AS t USING (width, win)),
+hits AS (
+    SELECT id, count(DISTINCT word) AS n_hit FROM (SELECT id, unnest(range(i, i + width)) AS word FROM found) GROUP BY id),
+items AS (
+    SELECT id, count(DISTINCT item_id) AS n_items, string_agg(DISTINCT item_id, ',' ORDER BY item_id) AS names
+    FROM found GROUP BY id)
+SELECT d.doc_id, len(w.w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+       sha256(coalesce(names, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM documents AS d JOIN w ON w.kind = 'd' AND w.id = d.doc_id::VARCHAR LEFT JOIN hits ON hits.id = w.id
+LEFT JOIN items ON items.id = w.id""")
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = contamination(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+    lengths = F.expr("aggregate(spans, 0L, (n, x) -> x - n)")  # ((to - (from - n)): alternating sum of the bounds
+    return found.select(
+        "doc_id",
+        "n_words",
+        lengths.alias("n_hit"),
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"),
+        (F.size("spans") > 0).alias("contaminated"),
+    )
+
+
 @_query("op7_simhash")
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_groups(read_table(spark, sf_dir, "documents"), width=3, max_bits=3)
