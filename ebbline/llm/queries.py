@@ -9,9 +9,10 @@ from pyspark.sql import functions as F
 
 from ebbline.llm.decontaminate import contamination
 from ebbline.llm.exact import exact_duplicates
+from ebbline.llm.quality import quality_scores
 from ebbline.llm.simhash import simhash_groups
 from ebbline.llm.sharding import stratified_shards
-from ebbline.llm.tables import read_table
+from ebbline.llm.tables import held_out_remainder, read_table
 from ebbline.llm.warc import read_archive, write_archive
 from ebbline.workspace import new_path
 
@@ -79,6 +80,21 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _judged(scores: DataFrame, threshold: float) -> DataFrame:
+    return scores.select(
+        "doc_id",
+        (F.coalesce(held_out_remainder(), F.lit(0)) == 0).alias("held_out"),
+        "score",
+        (F.col("score") >= threshold).cast("int").alias("predicted"),
+    )
+
+
+@_query("op2_quality")
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
+    return _judged(quality_scores(docs, labels), 0.3)
+
+
 @_query("op7_simhash")
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_groups(read_table(spark, sf_dir, "documents"), width=3, max_bits=3)
