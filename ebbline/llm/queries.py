@@ -13,6 +13,7 @@ from ebbline.llm.quality import quality_scores
 from ebbline.llm.simhash import simhash_groups
 from ebbline.llm.sharding import stratified_shards
 from ebbline.llm.tables import held_out_remainder, read_table
+from ebbline.llm.toxicity import toxicity_scores
 from ebbline.llm.warc import read_archive, write_archive
 from ebbline.workspace import new_path
 
@@ -95,6 +96,12 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _judged(quality_scores(docs, labels), 0.3)
 
 
+@_query("op5_toxicity")
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
+    return _judged(toxicity_scores(docs, labels), 0.5)
+
+
 @_query("op7_simhash")
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_groups(read_table(spark, sf_dir, "documents"), width=3, max_bits=3)
