@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ebbline.llm.decontaminate import contamination
 from ebbline.llm.exact import exact_duplicates
 from ebbline.llm.quality import quality_scores
+from ebbline.llm.repeats import remove_repeats
 from ebbline.llm.simhash import simhash_groups
 from ebbline.llm.sharding import stratified_shards
 from ebbline.llm.tables import held_out_remainder, read_table
@@ -96,6 +97,11 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _judged(quality_scores(docs, labels), 0.3)
 
 
+@_query("op3_suffix_dedup")
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(read_table(spark, sf_dir, "documents"), length=400)
+
+
 @_query("op5_toxicity")
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
