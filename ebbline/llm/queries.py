@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ebbline.llm.decontaminate import contamination
 from ebbline.llm.exact import exact_duplicates
+from ebbline.llm.pieces import decode, encode
 from ebbline.llm.quality import quality_scores
 from ebbline.llm.repeats import remove_repeats
 from ebbline.llm.simhash import simhash_groups
@@ -102,6 +104,26 @@ def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(read_table(spark, sf_dir, "documents"), length=400)
 
 
+PIECE_MODEL = "/opt/tokenizers/piece_bpe_32k.model"  # read by the driver, sent to the tasks
+
+
+def piece_model(path: str = PIECE_MODEL) -> bytes:
+    return Path(path).read_bytes()
+
+
+@_query("op4_sentencepiece")
+def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = piece_model()
+    back = decode(encode(read_table(spark, sf_dir, "documents"), model), model)
+    return back.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_pieces"),
+        F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
+        F.octet_length("text").cast("long").alias("n_bytes"),
+        F.sha2(F.col("text").cast("binary"), 256).alias("text_sha256"),
+    )
+
+
 @_query("op5_toxicity")
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")

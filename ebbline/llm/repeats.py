@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ebbline.llm.tables import whole_text
+from ebbline.llm.tables import row_key, whole_text
 from ebbline.workspace import stage
 
 LENGTH = 400
@@ -291,8 +291,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     if length < 2 * CELL:
         raise ValueError(f"strings have {2 * CELL} bytes at least")
     texts = docs.select(
-        F.coalesce("doc_id", F.lit(0)).cast("long").alias("id"),
-        F.xxhash64(whole_text(), F.col("doc_id").isNull()).alias("mark"),
+        *row_key(),
         whole_text().cast("binary").alias("bytes"),
     )
     runs = repeated_starts(texts.filter(F.octet_length("bytes") >= length), length)
@@ -306,8 +305,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     cut = stage(cut.dropDuplicates(["id", "mark"]), "repeats-cut")
     whole = docs.select(
         "doc_id",
-        F.coalesce("doc_id", F.lit(0)).cast("long").alias("id"),
-        F.xxhash64(whole_text(), F.col("doc_id").isNull()).alias("mark"),
+        *row_key(),
         F.octet_length(whole_text()).cast("long").alias("n_bytes"),
         F.sha2(whole_text().cast("binary"), 256).alias("all_bytes"),
     )

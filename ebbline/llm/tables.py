@@ -25,3 +25,12 @@ def ascii_lower(text: Column) -> Column:
 def held_out_remainder(column: str = "doc_id") -> Column:
     """crc32 of the id's decimal text modulo 5; rows with remainder 0 are held out of training."""
     return F.crc32(F.col(column).cast("string").cast("binary")) % 5
+
+
+def row_key() -> list[Column]:
+    """id and mark: never-null keys of a row by its id and text; only rows that repeat both (or a clash of 64-bit
+    hashes under one id) share them."""
+    return [
+        F.coalesce("doc_id", F.lit(0)).cast("long").alias("id"),
+        F.xxhash64(whole_text(), F.col("doc_id").isNull()).alias("mark"),
+    ]
