@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ebbline.llm.decontaminate import contamination
 from ebbline.llm.exact import exact_duplicates
+from ebbline.llm import licences
 from ebbline.llm.pieces import decode, encode
 from ebbline.llm.quality import quality_scores
 from ebbline.llm.repeats import remove_repeats
@@ -130,6 +131,46 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _judged(toxicity_scores(docs, labels), 0.5)
 
 
+def _canonical_sql(text: str) -> str:
+    """The SQL of licences.canonical, from the same lists."""
+    upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    low = f"translate({text}, '{upper}', '{upper.lower()}')"
+    low = f"regexp_replace({low}, '{licences.COPYRIGHT_LINE}', '', 'g')"
+    words = f"regexp_replace({low}, '{licences.PUNCTUATION}', '  ', 'g')"
+    words = f"'  ' || replace({words}, chr(10), '  ' || chr(10) || '  ') || '  '"
+    for other, one in licences.EQUIVALENT:
+        words = f"replace({words}, ' {other.replace(' ', '  ')} ', ' {one.replace(' ', '  ')} ')"
+    return f"regexp_replace(regexp_replace({words}, ' +', ' ', 'g'), ' ?\\n ?', chr(10), 'g')"
+
+
+def _known_sql() -> str:
+    rows = [(i, "text", t) for i, t in licences.TEXTS] + [(i, "notice", t) for i, t in licences.NOTICES]
+    return ", ".join("(" + ", ".join("'" + v.replace("'", "''") + "'" for v in row) + ")" for row in rows)
+
+
+_ONE_LINE = "trim(regexp_replace({}, '[ \\n]+', ' ', 'g'))"
+
+
+@_query("op6_license", f"""
+WITH named AS (
+    SELECT license_id, scope, {_ONE_LINE.format(_canonical_sql("text"))} AS words
+    FROM (VALUES {_known_sql()}) AS known(license_id, scope, text)),
+texts AS (SELECT doc_id, {_canonical_sql("coalesce(text, '')")} AS lines FROM documents),
+whole AS (SELECT words, min(license_id) AS license_id FROM named WHERE words <> '' GROUP BY words),
+notices AS (SELECT DISTINCT words, license_id AS notice FROM named WHERE words <> '' AND scope = 'notice'),
+lines AS (
+    SELECT doc_id, line, trim(l[line]) AS words
+    FROM (SELECT doc_id, l, unnest(range(1, len(l) + 1)) AS line FROM (SELECT doc_id, string_split(lines, chr(10)) AS l FROM texts))),
+found AS (
+    SELECT doc_id, string_agg(DISTINCT notice, ',' ORDER BY notice) AS notices, count(DISTINCT line) AS n
+    FROM lines JOIN notices USING (words) GROUP BY doc_id)
+SELECT doc_id, sha256({_ONE_LINE.format("lines")}) AS canonical_sha256, license_id, coalesce(notices, '') AS notices,
+       coalesce(n, 0)::BIGINT AS n_notice_lines
+FROM texts LEFT JOIN whole ON whole.words = {_ONE_LINE.format("lines")} LEFT JOIN found USING (doc_id)""")
+def op6_license(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.license_scan(read_table(spark, sf_dir, "documents"), licences.known_licences(spark))
+
+
 @_query("op7_simhash")
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_groups(read_table(spark, sf_dir, "documents"), width=3, max_bits=3)
