@@ -193,7 +193,7 @@ def _blocks(benchmark: DataFrame, block_bytes: int) -> Iterator[tuple[list[tuple
 
 
 def contamination(
-    docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_bytes: int = BLOCK_BYTES
+    docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_bytes: int = BLOCK_BYTES, carry: bool = False
 ) -> DataFrame:
     """What of `benchmark` (item_id, text) occurs word for word in each document.
 
@@ -207,11 +207,12 @@ def contamination(
     `block_bytes` is searched block by block, the documents with their hits so far being written between.
 
     Null texts have no words; null item ids are named 'null'; items that repeat an id are one item in `items`; an
-    empty benchmark hits nothing; an empty document table gives no rows. Other columns are not read.
+    empty benchmark hits nothing; an empty document table gives no rows. Other columns are not read, or, with
+    `carry`, come back with the row as the struct `document`.
     """
     spark = docs.sparkSession
     found = docs.select(
-        "doc_id", "text", F.lit(0).cast("long").alias("n_words"), F.array().cast("array<long>").alias("spans"),
+        *([F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("document")] if carry else []), "doc_id", "text", F.lit(0).cast("long").alias("n_words"), F.array().cast("array<long>").alias("spans"),
         F.array().cast("array<string>").alias("items"),
     )
     first = True

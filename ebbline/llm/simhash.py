@@ -47,13 +47,13 @@ def fingerprint(text: str, width: int) -> int:
 
 
 def fingerprints(docs: DataFrame, width: int) -> DataFrame:
-    """doc_id, mark (the fingerprint as a signed long)."""
+    """doc_id, text_mark (a hash of the text that tells apart rows with one id), mark (the fingerprint, signed)."""
 
     @F.pandas_udf("long")
     def marks(texts: pd.Series) -> pd.Series:
         return pd.Series([fingerprint(t, width) for t in texts], dtype="int64")
 
-    return docs.select("doc_id", marks(whole_text()).alias("mark"))
+    return docs.select("doc_id", F.xxhash64(whole_text()).alias("text_mark"), marks(whole_text()).alias("mark"))
 
 
 def _segments(max_bits: int) -> list[tuple[int, int]]:
@@ -111,7 +111,7 @@ def simhash_groups(docs: DataFrame, width: int = 3, max_bits: int = 3) -> DataFr
     """Near-duplicate components of `docs`: fingerprints link if they differ in `max_bits` bits or fewer.
 
     Columns: doc_id, fingerprint (16 lower-case hex digits), component_id (the smallest doc_id reachable over
-    links, itself included); one row per row of `docs`.
+    links, itself included), component (its smallest fingerprint, signed), text_mark; one row per row of `docs`.
     Equal fingerprints are one node from the start, so copies are never paired; all links between different
     fingerprints are found and only components are kept of them.
 
@@ -126,10 +126,12 @@ def simhash_groups(docs: DataFrame, width: int = 3, max_bits: int = 3) -> DataFr
     found = components(links)
     linked = marks.join(found, F.col("mark") == F.col("node")).select("mark", "first_id", "component")
     smallest = linked.groupBy("component").agg(F.min("first_id").alias("component_id"))
-    linked = linked.join(smallest, "component").select("mark", "component_id")
+    linked = linked.join(smallest, "component").select("mark", "component", "component_id")
     named = marks.join(linked, "mark", "left").select(
-        "mark", F.when(F.col("component_id").isNull(), F.col("first_id")).otherwise(F.col("component_id")).alias("component_id")
+        "mark",
+        F.coalesce("component", "mark").alias("component"),
+        F.when(F.col("component").isNull(), F.col("first_id")).otherwise(F.col("component_id")).alias("component_id"),
     )
     return marked.join(stage(named, "simhash-components"), "mark").select(
-        "doc_id", F.lower(F.lpad(F.hex("mark"), 16, "0")).alias("fingerprint"), "component_id"
+        "doc_id", F.lower(F.lpad(F.hex("mark"), 16, "0")).alias("fingerprint"), "component_id", "component", "text_mark"
     )

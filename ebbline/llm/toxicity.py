@@ -8,8 +8,9 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ebbline.llm.quality import labelled_sample
@@ -206,12 +207,18 @@ def toxicity_scores(
     Without labels of both kinds every score is the label share (0.5 without any label). An empty table gives no
     rows. Whole texts are scored; other columns are not read.
     """
-    model = docs.sparkSession.sparkContext.broadcast(fit_toxicity(docs, labels, sample_rows, terms, penalty))
+    score = score_column(docs.sparkSession, fit_toxicity(docs, labels, sample_rows, terms, penalty))
+    return docs.select("doc_id", score(whole_text()).alias("score"))
 
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+def score_column(spark: SparkSession, classifier: Classifier):
+    """A function from a text column to its score."""
+    model = spark.sparkContext.broadcast(classifier)
+
+    @F.pandas_udf("double")
+    def score(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         scorer = model.value.scorer()
-        for batch in batches:
-            scores = pa.array([scorer(t.as_py()) for t in batch.column("text")], pa.float64())
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), scores], ["doc_id", "score"])
+        for batch in texts:
+            yield pd.Series([scorer(t) for t in batch], dtype="float64")
 
-    return docs.select("doc_id", whole_text().alias("text")).mapInArrow(score, "doc_id long, score double")
+    return score

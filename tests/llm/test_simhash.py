@@ -46,7 +46,7 @@ def key(row):
 
 def test_whole_table_equals_brute_force(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").collect()
-    ours = [tuple(r) for r in QUERIES["op7_simhash"](spark, sf_dir).collect()]
+    ours = [tuple(r)[:3] for r in QUERIES["op7_simhash"](spark, sf_dir).collect()]
     assert sorted(ours) == sorted(plain_components([(r.doc_id, plain_mark(r.text)) for r in docs]))
 
 
@@ -58,7 +58,7 @@ def test_edges(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string").withColumns(
         {c: F.lit("x") for c in ("mark", "fingerprint", "a", "node")}
     )
-    ours = [tuple(r) for r in simhash_groups(docs).collect()]
+    ours = [tuple(r)[:3] for r in simhash_groups(docs).collect()]
     assert sorted(ours, key=key) == sorted(plain_components([(i, plain_mark(t)) for i, t in rows]), key=key)
     assert simhash_groups(docs.limit(0)).count() == 0
 
