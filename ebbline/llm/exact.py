@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import cache
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -19,27 +17,28 @@ BASES = (1_103_515_245, 1_664_525_023)
 _MARKS = ["mark_a", "mark_b", "n_bytes"]
 
 
-@cache
-def _powers(base: int, prime: int, count: int) -> np.ndarray:
+def powers(base: int, prime: int, count: int) -> np.ndarray:
     """base^(count-1), ..., base^1, base^0 modulo prime."""
-    powers = np.ones(count, dtype=np.uint64)
+    found = np.ones(count, dtype=np.uint64)
     for i in range(count - 2, -1, -1):
-        powers[i] = int(powers[i + 1]) * base % prime
-    return powers
+        found[i] = int(found[i + 1]) * base % prime
+    return found
 
 
-def chunk_hash(chunk: bytes, base: int, prime: int, chunk_bytes: int) -> int:
+def chunk_hash(chunk: bytes, weights: np.ndarray, prime: int) -> int:
     """The polynomial with the chunk's bytes plus one as coefficients; sums stay below 2^64 up to 2^24 bytes."""
     values = np.frombuffer(chunk, dtype=np.uint8).astype(np.uint64) + np.uint64(1)
-    return int(np.dot(values, _powers(base, prime, chunk_bytes)[chunk_bytes - len(values):])) % prime
+    return int(np.dot(values, weights[len(weights) - len(values):])) % prime
 
 
 def _hasher(prime: int, chunk_bytes: int):
+    weights = {base: powers(base, prime, chunk_bytes) for base in BASES}
+
     @F.pandas_udf("struct<mark_a: long, mark_b: long>")
     def shares(chunk: pd.Series, after: pd.Series) -> pd.DataFrame:
         """Each chunk's share of its document's fingerprint: its hash shifted by the bytes that follow it."""
         found = [
-            [chunk_hash(c, base, prime, chunk_bytes) * pow(base, int(n), prime) % prime for c, n in zip(chunk, after)]
+            [chunk_hash(c, weights[base], prime) * pow(base, int(n), prime) % prime for c, n in zip(chunk, after)]
             for base in BASES
         ]
         return pd.DataFrame({"mark_a": found[0], "mark_b": found[1]}, dtype="int64")

@@ -6,12 +6,12 @@ import re
 from array import array
 from collections import Counter
 from collections.abc import Iterator
-from functools import lru_cache
 from itertools import accumulate
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from sentencepiece import sentencepiece_model_pb2
@@ -203,10 +203,11 @@ class Vocabulary:
         return path
 
 
-@lru_cache(maxsize=2)
-def vocabulary_of(model: bytes) -> Vocabulary:
-    """One vocabulary, with the words it remembers, for all tasks of a worker process."""
-    return Vocabulary(model)
+def vocabulary_of(model: Broadcast) -> Vocabulary:
+    """One vocabulary a worker process, with the words it remembers, kept beside the bytes it was made from."""
+    if not hasattr(model, "vocabulary"):
+        model.vocabulary = Vocabulary(model.value)
+    return model.vocabulary
 
 
 class Walk:
@@ -406,7 +407,7 @@ def _encode_short(model):
     """Texts of one chunk: no cuts, so no states."""
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary = vocabulary_of(model.value)
+        vocabulary = vocabulary_of(model)
         for batch in batches:
             begin, held, size = 0, [], 0
             for i, text in enumerate(batch.column("text")):
@@ -426,7 +427,7 @@ _CHUNKS = "id long, mark long, number long, at long, begin long, end long, size
 
 def _cut(model, chunk: int):
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary = vocabulary_of(model.value)
+        vocabulary = vocabulary_of(model)
         for batch in batches:
             for row in batch.to_pylist():
                 text = _spaced(vocabulary, row["text"])
@@ -447,7 +448,7 @@ def _matrices(model):
     names = ["id", "mark", "number", "entries", "leavings", "scores"]
 
     def matrices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary = vocabulary_of(model.value)
+        vocabulary = vocabulary_of(model)
         for batch in batches:
             for row in batch.to_pylist():
                 cells = [
@@ -479,7 +480,7 @@ def _scan(rows: pd.DataFrame) -> pd.DataFrame:
 
 def _traced(model):
     def traced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary = vocabulary_of(model.value)
+        vocabulary = vocabulary_of(model)
         for batch in batches:
             for row in batch.to_pylist():
                 ids = _chunk(vocabulary, row).trace(tuple(row["entry"]) or None, tuple(row["leaving"]) or None)
@@ -540,7 +541,7 @@ def decode(encoded: DataFrame, model: bytes) -> DataFrame:
     shared = encoded.sparkSession.sparkContext.broadcast(model)
 
     def texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary = vocabulary_of(shared.value)
+        vocabulary = vocabulary_of(shared)
         for batch in batches:
             found = pa.array([decoded(vocabulary, ids.as_py() or []) for ids in batch.column("ids")], pa.string())
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("ids"), found], ["doc_id", "ids", "text"])

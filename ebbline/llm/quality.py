@@ -236,9 +236,9 @@ def labelled_sample(labels: DataFrame, label: str, rows: int) -> DataFrame:
 
 def _pooler(model):
     def pool(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        buckets = Buckets()
+        buckets, words = Buckets(), WordVectors(*model.value)
         for batch in batches:
-            rows = [pooled(buckets(t.as_py()), model.value).tolist() for t in batch.column("text")]
+            rows = [pooled(buckets(t.as_py()), words).tolist() for t in batch.column("text")]
             kept = [batch.column(c) for c in ("doc_id", "label")]
             yield pa.RecordBatch.from_arrays([*kept, pa.array(rows, pa.list_(pa.float64()))], ["doc_id", "label", "x"])
 
@@ -255,20 +255,21 @@ def quality_scores(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE
     rows. Texts are pooled whole, in parts of bounded memory. Other columns are not read.
     """
     spark = docs.sparkSession
-    model = spark.sparkContext.broadcast(word_vectors(docs))  # BUCKETS x DIMS floats
+    words = word_vectors(docs)
+    model = spark.sparkContext.broadcast((words.vectors, words.rarity))  # BUCKETS x DIMS floats
     sample = labelled_sample(labels, "quality", sample_rows)
     texts = docs.select("doc_id", whole_text().alias("text")).join(F.broadcast(sample), "doc_id")
     known = texts.mapInArrow(_pooler(model), "doc_id long, label int, x array<double>").orderBy("doc_id").collect()
     features = np.array([r.x for r in known]).reshape(-1, FEATURES)
     answers = np.array([r.label for r in known], dtype=np.int64)
     calibrate = np.array([zlib.crc32(str(r.doc_id).encode()) % 5 == 1 for r in known], dtype=bool)
-    net = spark.sparkContext.broadcast(train_network(features, answers, calibrate))
+    net = spark.sparkContext.broadcast(vars(train_network(features, answers, calibrate)))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        buckets = Buckets()
+        buckets, words, network = Buckets(), WordVectors(*model.value), Network(**net.value)
         for batch in batches:
-            rows = [pooled(buckets(t.as_py()), model.value) for t in batch.column("text")]
-            scores = net.value.probabilities(np.array(rows).reshape(-1, FEATURES))
+            rows = [pooled(buckets(t.as_py()), words) for t in batch.column("text")]
+            scores = network.probabilities(np.array(rows).reshape(-1, FEATURES))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(scores)], ["doc_id", "score"])
 
     return docs.select("doc_id", whole_text().alias("text")).mapInArrow(score, "doc_id long, score double")

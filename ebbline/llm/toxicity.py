@@ -213,11 +213,11 @@ def toxicity_scores(
 
 def score_column(spark: SparkSession, classifier: Classifier):
     """A function from a text column to its score."""
-    model = spark.sparkContext.broadcast(classifier)
+    model = spark.sparkContext.broadcast((classifier.weights, classifier.bias))  # FEATURES weights at most
 
     @F.pandas_udf("double")
     def score(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        scorer = model.value.scorer()
+        scorer = Classifier(*model.value).scorer()
         for batch in texts:
             yield pd.Series([scorer(t) for t in batch], dtype="float64")
 

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ebbline.llm import exact
-from ebbline.llm.exact import PRIME, chunk_hash, exact_duplicates
+from ebbline.llm.exact import PRIME, chunk_hash, exact_duplicates, powers
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
@@ -53,9 +53,10 @@ def test_clashing_fingerprints_are_told_apart(spark):
 def test_fingerprints_compose():
     draw = np.random.default_rng(0)
     text, base = draw.integers(0, 256, 1_000).astype(np.uint8).tobytes(), exact.BASES[0]
-    whole = chunk_hash(text, base, PRIME, 1 << 14)
+    weights = powers(base, PRIME, 1 << 14)
+    whole = chunk_hash(text, weights, PRIME)
     for cut in (0, 1, 500, 999, 1_000):
-        left, right = (chunk_hash(t, base, PRIME, 1 << 14) for t in (text[:cut], text[cut:]))
+        left, right = (chunk_hash(t, weights, PRIME) for t in (text[:cut], text[cut:]))
         assert (left * pow(base, len(text) - cut, PRIME) + right) % PRIME == whole
 
 
