@@ -12,6 +12,7 @@ from ebbline.fixed_values import HIGH_RISK_CONTRACT, HIGH_RISK_PAYMENT, KEY, RIS
 from ebbline.functions import expressions as e
 from ebbline.operators import evaluate, knn, monitor, split
 from ebbline.plans import registry, scoring
+from ebbline.schemas import REQUEST
 from ebbline.workspace import stage
 
 MODELS = ["alpha", "beta", "gamma"]
@@ -147,35 +148,33 @@ _ACTIONS = ", ".join(
 
 
 @register("risk_actions", over_base(f"""
-SELECT key, risk_level, step, action FROM (
-  SELECT key, CASE WHEN probability > 0.7 THEN 'High' WHEN probability > 0.3 THEN 'Medium' ELSE 'Low' END AS risk_level
-  FROM scores WHERE model = 'alpha') AS s
+SELECT model, key, risk_level, step, action FROM (
+  SELECT model, key, CASE WHEN probability > 0.7 THEN 'High' WHEN probability > 0.3 THEN 'Medium' ELSE 'Low' END AS risk_level
+  FROM scores) AS s
 JOIN (VALUES {_ACTIONS}) AS a(level, step, action) ON level = risk_level""", _SCORES))
 def risk_actions(spark, sf_dir):
-    first = scores(spark, sf_dir).where("model = 'alpha'")
-    return scoring.risk_actions(first.select("key", e.risk_level(F.col("probability")).alias("risk_level")))
+    return scoring.risk_actions(scores(spark, sf_dir).select("model", "key", e.risk_level(F.col("probability")).alias("risk_level")))
 
 
 # --- monitoring ---
 
 
 @register("performance_monitor", over_base("""
-SELECT day, count(*) AS scored, count(*) FILTER (label = prediction) / count(*) AS accuracy,
+SELECT model, day, count(*) AS scored, count(*) FILTER (label = prediction) / count(*) AS accuracy,
   count(*) FILTER (label = prediction) / count(*) < 0.82 * 0.95 AS degraded
 FROM (SELECT *, CAST(o.day AS VARCHAR) AS day FROM scores JOIN (
         SELECT CAST(o_custkey AS VARCHAR) AS id, CAST(max(o_orderdate) AS DATE) AS day FROM orders GROUP BY 1) AS o
-      ON id = key WHERE model = 'alpha') AS s GROUP BY day""", _SCORES).replace("SELECT *, CAST(o.day AS VARCHAR) AS day", "SELECT label, prediction, CAST(o.day AS VARCHAR) AS day"))
+      ON id = key) AS s GROUP BY model, day""", _SCORES).replace("SELECT *, CAST(o.day AS VARCHAR) AS day", "SELECT model, label, prediction, CAST(o.day AS VARCHAR) AS day"))
 def performance_monitor(spark, sf_dir):
-    """Accuracy of one scorecard by the day of the customers' last order."""
+    """Accuracy of every scorecard by the day of the customers' last order."""
     days = table(spark, sf_dir, "orders").groupBy(F.col("o_custkey").cast("string").alias("key")).agg(
         F.date_format(F.max("o_orderdate"), "yyyy-MM-dd").alias("day")
     )
-    outcomes = scores(spark, sf_dir).where("model = 'alpha'").join(days, "key")
-    return monitor.performance_monitor(outcomes, "day")
+    return monitor.performance_monitor(scores(spark, sf_dir).join(days, "key"), ["model", "day"])
 
 
-_DRIFT_NUMBERS = ["tenure", "MonthlyCharges"]
-_DRIFT_TEXT = ["Contract", "InternetService", "PaymentMethod"]
+_DRIFT_NUMBERS = [f.name for f in REQUEST.fields if f.dataType.simpleString() != "string"]
+_DRIFT_TEXT = [f.name for f in REQUEST.fields if f.name not in (KEY, *_DRIFT_NUMBERS)]
 
 
 def _cells(columns: list[str], kind: str) -> str:

@@ -6,12 +6,12 @@ from pyspark.sql import functions as F
 
 from ebbline.catalog.oracle_base import over_base
 from ebbline.catalog.registry import churn, r6_sql, register, rounded, staged_churn, table
-from ebbline.fixed_values import BINARY_COLUMNS, KEY, SERVICE_COLUMNS, TARGET
+from ebbline.fixed_values import BINARY_COLUMNS, KEY, ONE_HOT_COLUMNS, SERVICE_COLUMNS, TARGET
 from ebbline.functions import expressions as e
 from ebbline.operators import encode, scale, select, split
 from ebbline.plans import features as prep
 from ebbline.plans import training
-from ebbline.schemas import ATTRIBUTE_NAMES
+from ebbline.schemas import ATTRIBUTE_NAMES, CHURN_TABLE
 
 # --- pieces of oracle SQL ---
 
@@ -170,7 +170,7 @@ def risk_flags(spark, sf_dir):
     return churn(spark, sf_dir).select(KEY, *[made[n].alias(n) for n in ["high_risk_contract", "high_risk_payment"]])
 
 
-_ENCODED = ["gender", "MultipleLines", "InternetService", "Contract", "PaymentMethod", "Churn"]
+_ENCODED = [f.name for f in CHURN_TABLE.fields if f.dataType.simpleString() == "string" and f.name != KEY]
 
 
 @register("label_encode", over_base('SELECT "customerID", ' + ", ".join(
@@ -178,10 +178,10 @@ _ENCODED = ["gender", "MultipleLines", "InternetService", "Contract", "PaymentMe
     for c, n in [(KEY, "key_code"), *[(c, c) for c in _ENCODED]]) + " FROM base"))
 def label_encode(spark, sf_dir):
     rows = staged_churn(spark, sf_dir).select(KEY, F.col(KEY).alias("key_code"), *_ENCODED)
-    return encode.label_encode(rows, ["key_code", *_ENCODED], at_most=100)
+    return encode.label_encode(rows, ["key_code", *_ENCODED])
 
 
-_ENCODED_LEVELS = {c: _LEVELS[c] for c in ["MultipleLines", "InternetService", "Contract", "PaymentMethod"]}
+_ENCODED_LEVELS = {c: _LEVELS[c] for c in ONE_HOT_COLUMNS if c in ATTRIBUTE_NAMES}
 
 
 @register("one_hot", over_base('SELECT "customerID", ' + ", ".join(
@@ -191,6 +191,16 @@ def one_hot(spark, sf_dir):
     return encode.one_hot(rows, encode.fit_levels(rows, list(_ENCODED_LEVELS)))
 
 
+@register("one_hot_many_levels", """
+SELECT c_custkey, "column", level, code FROM (
+  SELECT c_custkey, 'c_name' AS "column", c_name AS level, CAST(dense_rank() OVER (ORDER BY c_name) - 1 AS INTEGER) AS code FROM customer
+  UNION ALL SELECT c_custkey, 'c_mktsegment', c_mktsegment, CAST(dense_rank() OVER (ORDER BY c_mktsegment) - 1 AS INTEGER) FROM customer
+) AS held WHERE code > 0""")
+def one_hot_many_levels(spark, sf_dir):
+    """Sparse indicators of a column with as many levels as rows beside one with few."""
+    return encode.one_hot_entries(table(spark, sf_dir, "customer"), "c_custkey", ["c_name", "c_mktsegment"])
+
+
 @register("project_features", over_base('SELECT * EXCLUDE ("customerID", "Churn") FROM base'))
 def project_features(spark, sf_dir):
     return prep.project_features(churn(spark, sf_dir))

@@ -225,9 +225,9 @@ def insert_missing_customers(spark, sf_dir):
 @register("upsert_action_report", over_base("""
 SELECT id AS customer_id, id IS NOT NULL AS success,
   CASE WHEN id IS NULL THEN 'none' WHEN "customerID" IS NULL THEN 'inserted' ELSE 'updated' END AS action,
-  CASE WHEN id IS NULL THEN 'Invalid input: customerID is required'
-       WHEN "customerID" IS NULL THEN 'Customer ' || id || ' inserted successfully'
-       ELSE 'Customer ' || id || ' updated successfully' END AS message
+  CASE WHEN id IS NULL THEN 'no key'
+       WHEN "customerID" IS NULL THEN 'key ' || id || ': inserted'
+       ELSE 'key ' || id || ': updated' END AS message
 FROM (SELECT CASE WHEN c_acctbal >= -900 THEN CAST(c_custkey AS VARCHAR) END AS id FROM customer) AS batch
 LEFT JOIN base ON "customerID" = id"""))
 def upsert_action_report(spark, sf_dir):

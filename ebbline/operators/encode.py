@@ -1,16 +1,14 @@
-"""Category levels: collected small sets, label codes of any cardinality, named indicators."""
+"""Category levels: label codes and indicators, named or sparse, of any cardinality."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ebbline.functions.expressions import named
 from ebbline.operators.ordered import running_totals
 from ebbline.operators.quantiles import unpivot
-
-MAX_LEVELS = 900  # below Spark's window-group-limit threshold, so each task sends no more than this
-
+from ebbline.workspace import stage
 
 def level_codes(df: DataFrame, columns: list[str]) -> DataFrame:
     """(column, level, code): 0-based codes by sorted level, spread out whatever the cardinality."""
@@ -23,47 +21,37 @@ def level_codes(df: DataFrame, columns: list[str]) -> DataFrame:
     return ranked.select("column", "level", (F.col("upto_one") - 1).cast("int").alias("code"))
 
 
-def fit_levels(df: DataFrame, columns: list[str], at_most: int = MAX_LEVELS) -> dict[str, list[str] | None]:
-    """Sorted levels per column; None for a column with more than `at_most`, which is not collected.
-
-    At most `at_most + 1` levels per column reach the driver.
-    """
-    by_level = Window.partitionBy("column").orderBy("value")
-    rows = (
-        unpivot(df, columns, to="string")
-        .distinct()
-        .withColumn("place", F.row_number().over(by_level))
-        .where(F.col("place") <= at_most + 1)
-        .select("column", "value")
-        .collect()
-    )
-    found: dict[str, list[str] | None] = {c: [] for c in columns}
-    for row in rows:
+def fit_levels(df: DataFrame, columns: list[str]) -> dict[str, list[str]]:
+    """Sorted levels per column, as many as there are; they name columns, so they come to the driver."""
+    found: dict[str, list[str]] = {c: [] for c in columns}
+    for row in unpivot(df, columns, to="string").distinct().collect():
         found[row["column"]].append(row["value"])
-    return {c: sorted(v) if len(v) <= at_most else None for c, v in found.items()}
+    return {c: sorted(levels) for c, levels in found.items()}
 
 
-def code_expression(column: str, levels: list[str]) -> Column:
-    """Code of the column's level within its collected levels; NULL for an unseen one."""
-    if not levels:
-        return F.lit(None).cast("int")
-    pairs = [F.lit(x) for i, level in enumerate(levels) for x in (level, i)]
-    return F.get(F.array(F.create_map(*pairs)), F.lit(0))[named(column)].cast("int")
+def label_encode(df: DataFrame, columns: list[str]) -> DataFrame:
+    """Replace each text column by its code among the sorted levels, whatever their number.
+
+    Every column is joined on its part of the code table; where that is small Spark broadcasts it, so a
+    frequent level stays where it is read. NULL has no code and takes no part in the joins.
+    """
+    codes = stage(level_codes(df, columns), "level-codes")
+    encoded = df
+    for i, column in enumerate(columns):
+        own = codes.where(F.col("column") == column).select(F.col("level").alias("_level"), F.col("code").alias(f"_code{i}"))
+        encoded = encoded.join(own, named(column) == F.col("_level"), "left").drop("_level")
+    return encoded.select(*[F.col(f"_code{columns.index(c)}").alias(c) if c in columns else named(c) for c in df.columns])
 
 
-def label_encode(df: DataFrame, columns: list[str], at_most: int = MAX_LEVELS) -> DataFrame:
-    """Replace each text column by its code among the sorted levels.
+def one_hot_entries(df: DataFrame, key: str, columns: list[str]) -> DataFrame:
+    """(key, column, level, code) of the indicators that are 1: the sparse form of `one_hot`, for any number of levels.
 
-    Small level sets become a literal lookup inside the scan stage; a large one, such as a key, is
-    joined on its distributed code table.
+    The first level of a column is dropped, as there.
     """
-    levels = fit_levels(df, columns, at_most)
-    small = [c for c in columns if levels[c] is not None]
-    encoded = df.withColumns({c: code_expression(c, levels[c]) for c in small}) if small else df
-    for column in [c for c in columns if levels[c] is None]:
-        codes = level_codes(df, [column]).select(F.col("level").alias(column), F.col("code").alias("_code"))
-        encoded = encoded.join(codes, column, "left").withColumn(column, F.col("_code")).drop("_code")
-    return encoded.select(*[named(c) for c in df.columns])
+    held = df.select(named(key).alias(key), F.explode(F.array(*[
+        F.struct(F.lit(c).alias("column"), named(c).cast("string").alias("level")) for c in columns
+    ])).alias("held")).select(key, "held.column", "held.level")
+    return held.join(level_codes(df, columns).where("code > 0"), ["column", "level"]).select(key, "column", "level", "code")
 
 
 def indicator_names(levels: dict[str, list[str]]) -> list[str]:

@@ -108,13 +108,14 @@ def best_model(metrics: DataFrame) -> DataFrame:
 
 def roc_curve(scored: DataFrame) -> DataFrame:
     """One point per distinct probability, and the origin with a NULL threshold."""
-    points = threshold_counts(scored).select(
+    counts = threshold_counts(scored)
+    points = counts.select(
         "model",
         F.col("probability").alias("threshold"),
         ratio(F.col("fp"), F.col("negatives")).alias("fpr"),
         ratio(F.col("tp"), F.col("positives")).alias("tpr"),
     )
-    origin = scored.select("model").distinct().select(
+    origin = counts.select("model").distinct().select(
         "model", F.lit(None).cast("double").alias("threshold"), F.lit(0.0).alias("fpr"), F.lit(0.0).alias("tpr")
     )
     return points.unionByName(origin)
@@ -122,13 +123,14 @@ def roc_curve(scored: DataFrame) -> DataFrame:
 
 def pr_curve(scored: DataFrame) -> DataFrame:
     """One point per distinct probability, and (recall 0, precision 1) with a NULL threshold."""
-    points = threshold_counts(scored).select(
+    counts = threshold_counts(scored)
+    points = counts.select(
         "model",
         F.col("probability").alias("threshold"),
         (F.col("tp") / (F.col("tp") + F.col("fp"))).alias("precision"),
         ratio(F.col("tp"), F.col("positives")).alias("recall"),
     )
-    end = scored.select("model").distinct().select(
+    end = counts.select("model").distinct().select(
         "model", F.lit(None).cast("double").alias("threshold"), F.lit(1.0).alias("precision"), F.lit(0.0).alias("recall")
     )
     return points.unionByName(end)

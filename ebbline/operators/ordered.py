@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-_CUTS = 960  # stays under the window-group-limit threshold, so each task sends at most this many
+_CUTS = 800  # expected cuts a group; their number varies by some thirty, bisection reaches 1,023
 _STEPS = [512, 256, 128, 64, 32, 16, 8, 4, 2, 1]
 
 
@@ -24,17 +24,23 @@ def running_totals(df: DataFrame, by: list[str], order: str, totals: list[str])
     """Add `upto_<t>` and `all_<t>` for each total `t`: its sum up to and including the row, and overall.
 
     Needs one row per (`by`, `order`) and few `by` groups (columns, models or classes): each group
-    is cut into up to 961 order ranges, every range is summed on its own, and the range sums, a
-    bounded table, are carried over. The cuts are the values with the smallest hashes, so they are
-    an even sample of the values and the same whenever a task is run again.
+    is cut into about 800 order ranges, every range is summed on its own, and the range sums, a
+    bounded table, are carried over. The cuts are the values whose hash lies below a threshold that
+    the count gives, so they are an even sample, the same whenever a task is run again, and no more
+    of them move when there are more tasks.
     """
-    by_hash = Window.partitionBy(*by).orderBy(F.xxhash64(order), F.col(order))
-    cuts = (
+    # Hashes are even, so the share of values to pick is the share of hashes below a threshold.
+    share = F.least(F.lit(1.0), _CUTS / F.col("_values"))
+    sizes = df.groupBy(*by).agg(F.count("*").alias("_values"))
+    picked = (
         df.select(*by, order)
-        .withColumn("_pick", F.row_number().over(by_hash))
-        .where(F.col("_pick") <= _CUTS)
+        .join(F.broadcast(sizes), by)
+        .where(F.pmod(F.xxhash64(order), F.lit(1 << 40)) < share * (1 << 40))
         .groupBy(*by)
-        .agg(F.array_sort(F.collect_list(order)).alias("_cuts"))
+        .agg(F.array_sort(F.collect_list(order)).alias("_picked"))
+    )
+    cuts = sizes.join(picked, by, "left").select(
+        *by, F.coalesce("_picked", F.slice("_picked", 1, 0)).alias("_cuts")
     )
     ranged = (
         df.join(F.broadcast(cuts), by)

@@ -9,21 +9,20 @@ from ebbline.fixed_values import CV_FOLDS
 from ebbline.functions.expressions import named
 
 
-def stratified_parts(df: DataFrame, key: str, label: str, percents: list[int], part: str = "part") -> DataFrame:
-    """Assign each row of every class to part 0, 1, ... with exactly the given percentages.
+def stratified_parts(df: DataFrame, key: str, label: str, shares: list[int], part: str = "part") -> DataFrame:
+    """Assign each row of every class to part 0, 1, ... with exactly the given shares (percentages, or any weights).
 
     Rows of a class are taken in the order of md5(key). Counting by the first three hex digits
     fixes the part of nearly all rows without moving them; only rows of the ranges that a boundary
     falls into are ranked, each range on its own.
     """
-    if sum(percents) != 100:
-        raise ValueError("percentages must add up to 100")
-    limits = [sum(percents[: i + 1]) for i in range(len(percents) - 1)]
+    total = sum(shares)
+    limits = [sum(shares[: i + 1]) for i in range(len(shares) - 1)]
 
     def part_of(rank: Column) -> Column:
         result = F.lit(0)
         for limit in limits:
-            result = result + (rank * 100 >= F.col("_class_rows") * limit).cast("int")
+            result = result + (rank * total >= F.col("_class_rows") * limit).cast("int")
         return result
 
     marked = df.where(named(label).isNotNull()).withColumn("_mark", F.md5(named(key).cast("string")))
@@ -54,7 +53,7 @@ def train_test(df: DataFrame, key: str, label: str, test_percent: int = 20) -> D
 
 def stratified_folds(df: DataFrame, key: str, label: str, folds: int = CV_FOLDS) -> DataFrame:
     """Add `fold`: equal parts of every class."""
-    return stratified_parts(df, key, label, [100 // folds] * folds, "fold")
+    return stratified_parts(df, key, label, [1] * folds, "fold")
 
 
 def class_weights(df: DataFrame, label: str) -> DataFrame:

@@ -12,7 +12,7 @@ from ebbline.fixed_values import (
     BINARY_COLUMNS, KEY, LIFECYCLE_LABELS, ONE_HOT_COLUMNS, TARGET, TENURE_GROUP_LABELS,
 )
 from ebbline.functions.expressions import binary_code, engineered_columns, named, to_number
-from ebbline.operators.encode import MAX_LEVELS, fit_levels, indicator_names, one_hot
+from ebbline.operators.encode import fit_levels, indicator_names, one_hot
 from ebbline.operators.neighbours import donor_points, impute
 from ebbline.operators.profile import columns_of
 from ebbline.schemas import ATTRIBUTE_NAMES
@@ -63,9 +63,6 @@ class FeaturePipeline:
         """`df` is read several times and should be a staged table."""
         text = [c for c in ONE_HOT_COLUMNS if c in df.columns]
         found = fit_levels(df, text)
-        too_many = [c for c in text if found[c] is None]
-        if too_many:
-            raise ValueError(f"more than {MAX_LEVELS} levels in {too_many}: not categories")
         fixed = {"tenure_group": TENURE_GROUP_LABELS, "customer_lifecycle": LIFECYCLE_LABELS}
         levels = {c: found.get(c) or fixed[c] for c in ONE_HOT_COLUMNS if c in found or c in fixed}
         donors = donor_points(numeric_charges(df), "TotalCharges", "tenure", "MonthlyCharges", KEY)

@@ -10,7 +10,7 @@ from typing import Any
 from pyspark.ml import Model
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -31,8 +31,8 @@ CV_SCHEMA = "model string, grid_point string, folds int, mean_roc_auc double, er
 
 def vectors(df: DataFrame, features: list[str], out: str = "features") -> DataFrame:
     """Assemble the feature vector; a missing value becomes 0, after scaling that is the median."""
-    safe = df.withColumns({f: F.coalesce(named(f).cast("double"), F.lit(0.0)) for f in features})
-    return VectorAssembler(inputCols=features, outputCol=out).transform(safe)
+    values = [F.coalesce(named(f).cast("double"), F.lit(0.0)) for f in features]
+    return df.withColumn(out, array_to_vector(F.array(*values)))
 
 
 def tree_importance(df: DataFrame, features: list[str], label: str, trees: int = 100) -> DataFrame:
@@ -127,7 +127,8 @@ def cross_validate(
         point, fold = task
         try:
             model = spec.build(point, total - sizes[fold]).fit(train.where(F.col("fold") != fold))
-            return _roc_auc(model, train.where(F.col("fold") == fold))
+            score = _roc_auc(model, train.where(F.col("fold") == fold))
+            return f"no ROC-AUC: fold {fold} holds one class" if score is None else score
         except Exception as problem:  # recorded in the result
             return f"{type(problem).__name__}: {problem}"[:500]
 
@@ -180,6 +181,8 @@ def train_models(data: TrainingSet, names: list[str] | None = None, grid: str =
         cv_rows += rows
         if best is not None:
             models[spec.name] = fit_on_all(spec, best, data.train)
+    if not models:
+        raise ValueError(f"no model could be trained: {[row[-1] for row in cv_rows]}")
     scores = reduce(DataFrame.unionByName, [scored(m, data.test, name) for name, m in models.items()])
     scores = stage(scores, "scores")
     if len(models) >= 3:
