@@ -8,6 +8,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _local_dirs: dict[str, str] = {}
+_staged: dict[str, list[str]] = {}  # by application
 
 
 def local_session(name: str = "ebbline", cores: str = "*", **conf: str) -> SparkSession:
@@ -29,11 +30,12 @@ def local_session(name: str = "ebbline", cores: str = "*", **conf: str) -> Spark
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder the cluster names in `spark.checkpoint.dir`; a fresh one in local mode only."""
+    """The folder the cluster names in `spark.checkpoint.dir`; a fresh one for a session in one process only."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors can reach")
     app = spark.sparkContext.applicationId
     if app not in _local_dirs:
@@ -42,7 +44,31 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def new_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/ebbline/{name}-{uuid.uuid4().hex}"
+    """A fresh path in the shared folder; `release` deletes it."""
+    path = f"{shared_dir(spark)}/ebbline/{name}-{uuid.uuid4().hex}"
+    _staged.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def release(spark: SparkSession, since: int = 0) -> int:
+    """Delete what this application has put into the shared folder, from the `since`-th path on; how many paths.
+
+    For the end of a job, or between jobs of one session: results that still read those paths must be
+    written out before.
+    """
+    paths = _staged.get(spark.sparkContext.applicationId, [])
+    gone = paths[since:]
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    for path in gone:
+        where = spark._jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(conf).delete(where, True)
+    del paths[since:]
+    return len(gone)
+
+
+def staged_paths(spark: SparkSession) -> int:
+    """How many paths `release` would delete; a job notes it at its begin and releases from there."""
+    return len(_staged.get(spark.sparkContext.applicationId, []))
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:

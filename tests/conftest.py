@@ -5,13 +5,15 @@ import pytest
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
-from ebbline.workspace import local_session  # noqa: E402
+from ebbline.workspace import local_session, release  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark():
-    session = local_session("tests", spark__sql__shuffle__partitions="4")
+def spark(tmp_path_factory):
+    shared = tmp_path_factory.mktemp("shared")
+    session = local_session("tests", spark__sql__shuffle__partitions="4", spark__checkpoint__dir=f"file://{shared}")
     yield session
+    release(session)
     session.stop()
 
 
