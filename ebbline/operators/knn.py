@@ -15,7 +15,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ebbline.workspace import stage
@@ -24,7 +24,7 @@ from ebbline.workspace import stage
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 BLOCK_ROWS = 4096
-MAX_PIVOTS = 1024
+MAX_PIVOTS = 2048  # a bound on what comes to the driver; it changes work, not results
 _CHUNK = 64
 _SLACK = 1e-9  # widens the bounds, so rounding never prunes a true neighbour
 
@@ -57,19 +57,50 @@ class Cells:
 
     def visited(self, vectors: np.ndarray, wanted: int) -> list[list[int]]:
         """Per query the cells that may hold one of its `wanted` nearest donors."""
-        result = []
         inner = np.array([d[wanted - 1] if len(d) >= wanted else np.inf for d in self.inner])
         used = self.rows > 0
-        for to_pivot in distances(vectors, self.pivots, self.metric):
-            reach = np.where(used, to_pivot + self.radius, np.inf)
-            order = np.argsort(reach)
-            enough = np.searchsorted(np.cumsum(self.rows[order]), wanted)
-            bound = reach[order[enough]] if enough < len(order) else np.inf
-            bound = min(bound, np.min(to_pivot + inner))
-            least = np.maximum(to_pivot - self.radius, (to_pivot - to_pivot.min()) / 2)
-            keep = used & (least <= bound * (1 + _SLACK) + _SLACK)
-            result.append(np.flatnonzero(keep).tolist())
-        return result
+        to_pivot = distances(vectors, self.pivots, self.metric)
+        reach = np.where(used, to_pivot + self.radius, np.inf)
+        order = np.argsort(reach, axis=1)
+        filled = np.cumsum(self.rows[order], axis=1) >= wanted
+        nth = np.take_along_axis(np.take_along_axis(reach, order, axis=1), filled.argmax(axis=1)[:, None], axis=1)[:, 0]
+        bound = np.minimum(np.where(filled.any(axis=1), nth, np.inf), np.min(to_pivot + inner, axis=1))[:, None]
+        least = np.maximum(to_pivot - self.radius, (to_pivot - to_pivot.min(axis=1, keepdims=True)) / 2)
+        keep = used & (least <= bound * (1 + _SLACK) + _SLACK)
+        return [np.flatnonzero(cells).tolist() for cells in keep]
+
+
+def nearest_in_block(
+    asking: np.ndarray, giving: np.ndarray, names: np.ndarray, k: int, metric: str, same: np.ndarray | None
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row of `asking`, row of `giving`, distance) of the `k` nearest, ties by name; `same` marks pairs to leave out.
+
+    A matrix product gives distances within rounding; only pairs that can be among the nearest are then
+    measured exactly.
+    """
+    if metric == "manhattan":
+        rough, slack = distances(asking, giving, metric), 0.0
+    else:
+        squares = (asking**2).sum(axis=1)[:, None] + (giving**2).sum(axis=1)[None, :]
+        rough = np.sqrt(np.maximum(squares - 2 * (asking @ giving.T), 0))
+        slack = 1e-6 * np.sqrt(squares.max(initial=0.0))
+    if same is not None:
+        rough[same] = np.inf
+    limit = np.partition(rough, k - 1, axis=1)[:, k - 1] if k < rough.shape[1] else np.full(len(rough), np.inf)
+    i, j = np.nonzero((rough <= limit[:, None] + 2 * slack) & np.isfinite(rough))
+    apart = asking[i] - giving[j]
+    away = np.abs(apart).sum(axis=1) if metric == "manhattan" else np.sqrt((apart * apart).sum(axis=1))
+    order = np.lexsort((names[j], away, i))
+    i, j, away = i[order], j[order], away[order]
+    first = np.searchsorted(i, i)  # where the row of `asking` begins
+    best = np.arange(len(i)) - first < k
+    return i[best], j[best], away[best]
+
+
+def _measurable(vector: str) -> Column:
+    """A vector that is there and holds numbers only."""
+    numbers = F.col(vector).cast("array<double>")
+    return numbers.isNotNull() & ~F.exists(numbers, lambda x: x.isNull() | F.isnan(x))
 
 
 @dataclass(frozen=True)
@@ -86,10 +117,10 @@ class KnnIndex:
         most: int = 16,
     ) -> KnnIndex:
         """`df` has unique keys; up to `most` neighbours can be asked for with sharp bounds."""
-        rows = df.select(
+        rows = df.where(_measurable(vector)).select(
             F.col(key).alias("neighbour"), F.col(vector).cast("array<double>").alias("vector"), *payload
         )
-        pivots_wanted = max(4, min(MAX_PIVOTS, round(math.sqrt(rows.count()) / 4)))
+        pivots_wanted = max(4, min(MAX_PIVOTS, round(math.sqrt(rows.count()) / 2)))
         sample = rows.orderBy(F.xxhash64("neighbour"), "neighbour").limit(pivots_wanted).select("vector")
         pivots = np.array([r["vector"] for r in sample.collect()], dtype=float)
 
@@ -127,7 +158,10 @@ class KnnIndex:
         return cls(donors, cells, list(payload))
 
     def neighbours(self, queries: DataFrame, key: str, vector: str, k: int, other_than_self: bool = False) -> DataFrame:
-        """(key, rank, neighbour, distance, payload): the `k` nearest donors per query; ties by donor key."""
+        """(key, rank, neighbour, distance, payload): the `k` nearest donors per query; ties by donor key.
+
+        Vectors that are NULL or hold NULL or NaN are no donors, and as queries have no neighbours.
+        """
         cells, payload = self.cells, self.payload
         wanted = k + 1 if other_than_self else k
 
@@ -136,7 +170,7 @@ class KnnIndex:
             for vectors in batches:
                 yield pd.Series(cells.visited(_matrix(vectors), wanted), index=vectors.index)
 
-        asked = queries.select(F.col(key).alias("_key"), F.col(vector).cast("array<double>").alias("_vector"))
+        asked = queries.where(_measurable(vector)).select(F.col(key).alias("_key"), F.col(vector).cast("array<double>").alias("_vector"))
         asked = stage(asked.withColumn("_cells", visited("_vector")), "knn-queries")
         visits = {r["_cell"]: r["n"] for r in
                   asked.select(F.explode("_cells").alias("_cell")).groupBy("_cell").agg(F.count("*").alias("n")).collect()}
@@ -158,22 +192,11 @@ class KnnIndex:
         def best(asking: pd.DataFrame, giving: pd.DataFrame) -> pd.DataFrame:
             if asking.empty or giving.empty:
                 return pd.DataFrame({c: [] for c in ["_key", "neighbour", "distance", *payload]})
-            away = distances(_matrix(asking["_vector"]), _matrix(giving["vector"]), metric)
-            names = giving["neighbour"].to_numpy()
-            away = distances(_matrix(asking["_vector"]), _matrix(giving["vector"]), metric)
-            asked_rows, given_rows = [], []
-            for i, who in enumerate(asking["_key"].to_numpy()):
-                row = away[i]
-                if other_than_self:
-                    row[names == who] = np.inf
-                limit = np.partition(row, k - 1)[k - 1] if k < len(row) else np.inf
-                near = np.flatnonzero((row <= limit) & np.isfinite(row))
-                near = near[np.lexsort((names[near], row[near]))][:k]
-                asked_rows.append(np.full(len(near), i))
-                given_rows.append(near)
-            i, j = np.concatenate(asked_rows), np.concatenate(given_rows)
+            names, asked_names = giving["neighbour"].to_numpy(), asking["_key"].to_numpy()
+            same = asked_names[:, None] == names[None, :] if other_than_self else None
+            i, j, away = nearest_in_block(_matrix(asking["_vector"]), _matrix(giving["vector"]), names, k, metric, same)
             chosen = giving.iloc[j][["neighbour", *payload]].reset_index(drop=True)
-            return chosen.assign(_key=asking["_key"].to_numpy()[i], distance=away[i, j])[
+            return chosen.assign(_key=asked_names[i], distance=away)[
                 ["_key", "neighbour", "distance", *payload]
             ]
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -25,16 +27,23 @@ def write_csv(df: DataFrame, path: str) -> None:
     ).csv(path)
 
 
-def read_jdbc(spark: SparkSession, table: str, options: dict[str, str]) -> DataFrame:
-    """A table of a configured database; Spark pushes filters and columns down. Credentials come as options."""
-    return spark.read.format("jdbc").options(**options).option("dbtable", table).load()
+def read_jdbc(
+    spark: SparkSession, table: str, options: dict[str, str], split_by: str, bounds: tuple[str, str], parts: int
+) -> DataFrame:
+    """A table of a configured database, read by `parts` tasks over ranges of `split_by` between `bounds`.
+
+    The bounds only place the ranges; rows outside are read, too. Spark pushes filters and columns down.
+    Credentials come as options.
+    """
+    ranges = {"partitionColumn": split_by, "lowerBound": bounds[0], "upperBound": bounds[1], "numPartitions": str(parts)}
+    return spark.read.format("jdbc").options(**options, **ranges).option("dbtable", table).load()
 
 
-def write_jdbc(df: DataFrame, table: str, options: dict[str, str], batch_rows: int = 10_000) -> None:
-    """Append to a table of a configured database, in batches, every partition on its own connection."""
-    df.write.format("jdbc").options(**options).option("dbtable", table).option("batchsize", batch_rows).mode(
-        "append"
-    ).save()
+def write_jdbc(df: DataFrame, table: str, options: dict[str, str], connections: int, batch_rows: int = 10_000) -> None:
+    """Append to a table of a configured database, in batches, over `connections` connections at most."""
+    df.write.format("jdbc").options(**options).option("dbtable", table).option("batchsize", batch_rows).option(
+        "numPartitions", connections
+    ).mode("append").save()
 
 
 def create_tables(spark: SparkSession, root: str, prefix: str = "") -> dict[str, str]:
@@ -68,12 +77,19 @@ def active_customers(customers: DataFrame) -> DataFrame:
 def reload_customers(customers: DataFrame, root: str) -> tuple[DataFrame, DataFrame]:
     """Replace the customers table by `customers` and empty the predictions that depend on it.
 
-    `customers` must not be read from `root` itself.
+    Both go into a new version folder under `root`, and the pointer to the current version moves last, by a
+    single row that is appended. A failure before leaves the old version current; `customers` may be read from it.
     """
     spark = customers.sparkSession
-    customers.write.mode("overwrite").parquet(f"{root}/customers")
-    spark.createDataFrame([], PREDICTIONS).write.mode("overwrite").parquet(f"{root}/churn_predictions")
-    return (
-        spark.read.schema(customers.schema).parquet(f"{root}/customers"),
-        spark.read.schema(PREDICTIONS).parquet(f"{root}/churn_predictions"),
-    )
+    version = uuid.uuid4().hex
+    customers.write.parquet(f"{root}/version={version}/customers")
+    spark.createDataFrame([], PREDICTIONS).write.parquet(f"{root}/version={version}/churn_predictions")
+    pointer = spark.createDataFrame([(version,)], "version string").withColumn("since", F.current_timestamp())
+    pointer.coalesce(1).write.mode("append").parquet(f"{root}/current")
+    return current_table(spark, root, "customers"), current_table(spark, root, "churn_predictions")
+
+
+def current_table(spark: SparkSession, root: str, name: str) -> DataFrame:
+    """The table of the version that the newest pointer row names."""
+    version = spark.read.parquet(f"{root}/current").orderBy(F.desc("since"), "version").head()["version"]
+    return spark.read.parquet(f"{root}/version={version}/{name}")

@@ -102,3 +102,20 @@ def test_vote_by_distance(spark):
     shares = {(r["key"], r["class"]): r["share"] for r in knn.vote(near, "key", "label", "distance").collect()}
     assert shares[("q", 0)] == pytest.approx(2 / 3.5)
     assert shares[("z", 1)] == 1.0 and shares[("z", 0)] in (0.0, None)
+
+
+def test_clustered_vectors_visit_few_cells(spark):
+    rng = np.random.default_rng(8)
+    centres = rng.normal(size=(10, 8)) * 30
+    points = np.vstack([centres[i % 10] + rng.normal(size=8) for i in range(2_000)])
+    df = spark.createDataFrame([(i, p.tolist()) for i, p in enumerate(points)], "id long, v array<double>")
+    cells = knn.KnnIndex.fit(df, "id", "v").cells
+    visited = cells.visited(points[:200], 5)
+    assert sum(map(len, visited)) < 0.5 * 200 * int((cells.rows > 0).sum())
+
+
+def test_vectors_without_numbers_are_left_out(spark):
+    rows = [(1, [0.0, 0.0]), (2, [1.0, 0.0]), (3, None), (4, [None, 1.0]), (5, [float("nan"), 1.0]), (6, [5.0, 5.0])]
+    df = spark.createDataFrame(rows, "id long, v array<double>")
+    near = knn.KnnIndex.fit(df, "id", "v").neighbours(df, "id", "v", 2, other_than_self=True).collect()
+    assert {(r.id, r.neighbour) for r in near} == {(1, 2), (1, 6), (2, 1), (2, 6), (6, 1), (6, 2)}
