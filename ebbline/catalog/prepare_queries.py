@@ -340,16 +340,22 @@ _TOP = """SELECT feature FROM (SELECT feature, row_number() OVER (
   ORDER BY {score} DESC NULLS LAST, feature) AS rn FROM {source}) AS r WHERE rn <= 20"""
 
 
-@register("feature_votes", over_base(f"""
+_VOTES = f"""
 SELECT feature, count(DISTINCT method) AS votes, count(DISTINCT method) >= 2 AS selected FROM (
   SELECT 'univariate' AS method, feature FROM ({_TOP.format(score='round(score, 9)', source='anova')}) AS a
   UNION ALL SELECT 'mutual_info', feature FROM ({_TOP.format(score='round(score, 9)', source='information')}) AS b
   UNION ALL SELECT 'mean_gap', feature FROM ({_TOP.format(score='round(score, 9)', source='gaps')}) AS c
   UNION ALL SELECT 'share_nonzero', feature FROM ({_TOP.format(score='score', source='nonzero')}) AS d) AS m
-GROUP BY 1""", *_TO_FEATURES, _CELLS, _MEANS, _F, _MI, """gaps AS (
+GROUP BY 1"""
+_VOTE_PARTS = [
+    *_TO_FEATURES, _CELLS, _MEANS, _F, _MI, """gaps AS (
   SELECT c.feature, abs(max(CASE WHEN "Churn" = 1 THEN mean END) - max(CASE WHEN "Churn" = 0 THEN mean END)) AS score
   FROM class_means AS c GROUP BY 1)""", """nonzero AS (
-  SELECT feature, count(*) FILTER (value <> 0) AS score FROM cells GROUP BY 1)"""))
+  SELECT feature, count(*) FILTER (value <> 0) AS score FROM cells GROUP BY 1)""",
+]
+
+
+@register("feature_votes", over_base(_VOTES, *_VOTE_PARTS))
 def feature_votes(spark, sf_dir):
     """The vote over F scores, mutual information and two further rankings that SQL can state."""
     counts = training.stage(_label_counts(spark, sf_dir), "label-counts")
@@ -368,6 +374,19 @@ def feature_votes(spark, sf_dir):
     })
 
 
+@register("feature_vote_report", over_base(f"""
+SELECT CAST(row_number() OVER (ORDER BY votes DESC, feature) AS INTEGER) AS place, feature, votes, selected,
+  (SELECT count(DISTINCT feature) FROM cells) AS features, count(*) FILTER (selected) OVER () AS kept,
+  round(100.0::DOUBLE * ((SELECT count(DISTINCT feature) FROM cells) - count(*) FILTER (selected) OVER ())
+    / (SELECT count(DISTINCT feature) FROM cells), 6) AS reduction_percent
+FROM ({_VOTES}) AS v QUALIFY place <= 15""", *_VOTE_PARTS))
+def feature_vote_report(spark, sf_dir):
+    """The 15 features with most votes, how many are kept, and by how much the table narrows."""
+    rows = feature_rows(spark, sf_dir)
+    report = select.vote_report(feature_votes(spark, sf_dir), len(prep.numeric_features(rows)))
+    return report.withColumn("reduction_percent", F.round("reduction_percent", 6))
+
+
 @register("tree_importance")
 def tree_importance(spark, sf_dir):
     rows = training.stage(feature_rows(spark, sf_dir), "features")

@@ -93,7 +93,17 @@ def parse_requests(spark, sf_dir):
     return requests.parse_requests(requests.to_requests(churn(spark, sf_dir)))
 
 
-@register("table_schemas")
+_LISTED = ", ".join(
+    f"('{name}', {i}, '{f.name}', '{f.dataType.simpleString()}')"
+    for name, schema in tables.TABLES.items() for i, f in enumerate(schema.fields)
+)
+
+
+@register("table_schemas", over_base(f"""
+SELECT "table", CAST(position AS INTEGER) AS position, "column", type, CAST(CASE "table"
+    WHEN 'customers' THEN (SELECT count(*) FROM base) WHEN 'churn_predictions' THEN (SELECT count(*) FROM predictions)
+    ELSE 0 END AS BIGINT) AS rows
+FROM (VALUES {_LISTED}) AS listed("table", position, "column", type)""", _PREDICTIONS))
 def table_schemas(spark, sf_dir):
     """Create the three tables, load two of them, and list their columns and row counts."""
     root = new_path(spark, "tables")

@@ -97,3 +97,21 @@ def feature_votes(selections: dict[str, DataFrame], needed: int = VOTES_NEEDED)
         .agg(F.count_distinct("method").alias("votes"))
         .withColumn("selected", F.col("votes") >= needed)
     )
+
+
+def vote_report(votes: DataFrame, features: int, n: int = 15) -> DataFrame:
+    """The `n` features with most votes (ties by name), with the count of all and kept features and the reduction.
+
+    `votes` has one row per feature with a vote, a table as long as the feature table is wide.
+    """
+    everything = Window.partitionBy()
+    place = Window.partitionBy().orderBy(F.desc("votes"), "feature")
+    kept = F.sum(F.col("selected").cast("long")).over(everything)
+    return (
+        votes.withColumn("place", F.row_number().over(place))
+        .withColumn("features", F.lit(features).cast("long"))
+        .withColumn("kept", kept)
+        .withColumn("reduction_percent", 100.0 * (F.col("features") - F.col("kept")) / F.col("features"))
+        .where(F.col("place") <= n)
+        .select("place", "feature", "votes", "selected", "features", "kept", "reduction_percent")
+    )
