@@ -23,15 +23,40 @@ CHUNK = 1 << 16  # characters
 SPACE = "▁"
 NEVER = float("-inf")
 _WORDS = re.compile(f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+")
-_IDS_AT_ONCE = 2_000_000
+_IDS_AT_ONCE = 500_000
+_ROWS_AT_ONCE = 500
 _BPE, _NORMAL, _UNKNOWN, _BYTE = 2, 1, 2, 6  # fixed values of the model file
-_MEMO_WORDS = 200_000
-_MEMO_PAIRS = 2_000_000
+_MEMO_WORDS = 400_000
+_MEMO_PAIRS = 300_000
+_MEMO_ENDS = 100_000
+_SHORT_END = 12  # characters
+_LONG = 5
+_SHORT = (4, 3, 2, 1)
 
 State = tuple[int, int]  # a piece that covers the character before a cut: its begin and end, from the cut
 Matrix = dict[State | None, dict[State | None, float]]  # None: before the text's first piece, after its last
 
 
+class Memory(dict):
+    """Remembers what was met since it was last full and what was met in the time before that."""
+
+    def __init__(self, most: int):
+        super().__init__()
+        self.most, self.older = most, {}
+
+    def __missing__(self, key):
+        found = self.older.get(key)
+        if found is not None:
+            self.add(key, found)
+        return found
+
+    def add(self, key, value) -> None:
+        if len(self) >= self.most:
+            self.older = dict(self)
+            self.clear()
+        self[key] = value
+
+
 class Vocabulary:
     """The pieces of a model file and what a path through a text may do.
 
@@ -58,13 +83,14 @@ class Vocabulary:
         self.lost = min(self.score.values(), default=0.0) - 10.0  # unigram score of a character without a piece
         # No piece goes on over a space behind another sign; such places part words that are encoded alone.
         self.parts_words = not any(SPACE in p.lstrip(SPACE) for p in self.ids)
-        self._reach: dict[str, int] = {}  # the longest piece that begins with these three signs
+        lengths: dict[str, set[int]] = {}  # of the pieces that begin with these signs
         for piece in self.ids:
-            if len(piece) > 2:
-                self._reach[piece[:3]] = max(len(piece), self._reach.get(piece[:3], 0))
-        self._words: dict[str, tuple[list[int], float]] = {}
-        self._older: dict[str, tuple[list[int], float]] = {}
-        self._pairs: dict[tuple[str, str], bool] = {}
+            if len(piece) >= _LONG:
+                lengths.setdefault(piece[:_LONG], {*_SHORT}).add(len(piece))
+        self._lengths = {begin: sorted(found, reverse=True) for begin, found in lengths.items()}
+        self._words = Memory(_MEMO_WORDS)  # ids of a word, by the word without its space
+        self._ends: dict[tuple[int, str], tuple[int, ...]] = {}  # ids of a word's last characters behind a piece
+        self._pairs = Memory(_MEMO_PAIRS)  # whether two pieces, by their ids in one number, are stable
         self._splits: dict[str, tuple[str, str] | None] = {}
         if self.bpe:  # pieces that merging never builds are no steps of any path
             self.ids = {p: i for p, i in self.ids.items() if len(p) == 1 or self._split(p)}
@@ -104,16 +130,14 @@ class Vocabulary:
     def stable(self, left: str, right: str) -> bool:
         """Whether two pieces stay apart: undo the merges beside their border, the latest first, and see whether one
         across it would have come before (of equal ones the left one comes first)."""
-        pair = (left, right)
-        known = self._pairs.get(pair)
+        pair = self.ids[left] << 32 | self.ids[right]
+        known = self._pairs[pair]
         if known is None:
-            if len(self._pairs) >= _MEMO_PAIRS:
-                self._pairs.clear()
             if left in self._untimed or right in self._untimed:
                 known = self._merged([*left, *right]) == [left, right]
             else:
                 known = self._undone(left, right)
-            self._pairs[pair] = known
+            self._pairs.add(pair, known)
         return known
 
     def _undone(self, left: str, right: str) -> bool:
@@ -134,7 +158,7 @@ class Vocabulary:
         """The score of going on with `piece`."""
         if not self.bpe:
             return self.score.get(piece, self.lost)
-        if before is None or before not in self.score or piece not in self.score:
+        if before is None or before not in self.ids or piece not in self.ids:
             return 0.0
         return 0.0 if self.stable(before, piece) else NEVER
 
@@ -158,49 +182,76 @@ class Vocabulary:
             return [self.byte_ids[b] for b in piece.encode("utf-8", "surrogatepass")]
         return [self.unknown]
 
-    def word(self, word: str) -> tuple[list[int], float]:
-        """Ids and score of a word that is encoded alone. Words are remembered: those met since the memory was last full,
-        and those met in the time before."""
-        found = self._words.get(word)
+    def whole_words(self, text: str) -> tuple[list[int], float]:
+        """Ids and score of a text that is cut before and behind: its words are encoded one by one."""
+        ids: list[int] = []
+        if self.bpe and self.parts_words and text[:1] == SPACE and SPACE + SPACE not in text:
+            known, add, extend = self._words.get, self.word, ids.extend
+            for bare in text[1:].split(SPACE):
+                extend(known(bare) or add(SPACE + bare, bare))
+            return ids, 0.0
+        if self.bpe:
+            for word in _WORDS.findall(text):
+                ids.extend(self.word(word, word[1:] if word[0] == SPACE else f"{SPACE} {word}"))
+            return ids, 0.0
+        total = 0.0
+        for word in _WORDS.findall(text):
+            walk = Walk(self, word, 0, None, len(word))
+            ids.extend(i for a, b in walk.path(len(word)) for i in self.ids_of(word[a:b]))
+            total += walk.best[len(word)][0]
+        return ids, total
+
+    def word(self, word: str, name: str) -> tuple[int, ...]:
+        """Ids of a word that is encoded alone (BPE); `name` is what it is remembered by."""
+        found = self._words[name]
         if found is None:
-            if len(self._words) >= _MEMO_WORDS:
-                self._older, self._words = self._words, {}
-            found = self._older.get(word)
-            if found is not None:
-                self._words[word] = found
-                return found
-            if self.bpe:
-                path, score = self._stable_path(word), 0.0
-            else:
-                walk = Walk(self, word, 0, None, len(word))
-                path, score = walk.path(len(word)), walk.best[len(word)][0]
-            found = self._words[word] = [i for a, b in path for i in self.ids_of(word[a:b])], score
+            found = self._stable_ids(word)
+            self._words.add(name, found)
         return found
 
-    def _stable_path(self, word: str) -> list[State]:
+    def _stable_ids(self, word: str) -> tuple[int, ...]:
         """The only path of score 0 through a word: depth first, long pieces first. A place is reached by one stable
-        path at most, so one that leads nowhere is never tried again."""
-        ids, pairs, reach, size = self.ids, self._pairs, self._reach, len(word)
-        path: list[State] = []
+        path at most, so one that leads nowhere is never tried again. How a word ends depends on what is left of
+        it and the piece before only, so short ends are remembered."""
+        id_of, pair, lengths, end_of = self.ids.get, self._pairs.get, self._lengths.get, self._ends.get
+        size, begin, before, known_end = len(word), 0, -1, None
+        path: list[tuple[int, int]] = []  # begin and id, -1 for a character without a piece
         nowhere: set[int] = set()
-        begin, before = 0, None
         while begin < size:
-            for end in range(min(begin + reach.get(word[begin:begin + 3], 2), size), begin, -1):
-                piece = word[begin:end]
-                if piece not in ids and end > begin + 1 or end in nowhere:
+            left = size - begin
+            if begin and left <= _SHORT_END:
+                known_end = end_of((before, word[begin:]))
+                if known_end is not None:
+                    break
+            for length in lengths(word[begin:begin + _LONG], _SHORT):
+                if length > left:
                     continue
-                if before is not None:
-                    known = pairs.get((before, piece))
-                    if not (self.step(before, piece) == 0 if known is None else known):
+                piece = id_of(word[begin:begin + length], -1)
+                if piece < 0:
+                    if length > 1:
+                        continue
+                elif before >= 0:
+                    stable = pair(before << 32 | piece)
+                    if not stable and (stable is False or not self.stable(self.pieces[before], word[begin:begin + length])):
                         continue
-                path.append((begin, end))
-                begin, before = end, piece
+                if nowhere and begin + length in nowhere:
+                    continue
+                path.append((begin, piece))
+                begin, before = begin + length, piece
                 break
             else:
                 nowhere.add(begin)
                 begin, _ = path.pop()
-                before = word[slice(*path[-1])] if path else None
-        return path
+                before = path[-1][1] if path else -1
+        found = known_end or ()
+        for at, piece in reversed(path):
+            if 0 < size - begin <= _SHORT_END and known_end is not found:
+                if len(self._ends) >= _MEMO_ENDS:
+                    self._ends.clear()
+                self._ends[piece, word[begin:]] = found
+            found = ((piece,) if piece >= 0 else tuple(self.ids_of(word[at:begin]))) + found
+            begin = at
+        return found
 
 
 def vocabulary_of(model: Broadcast) -> Vocabulary:
@@ -289,9 +340,6 @@ class Chunk:
     def _parting(self, start: int, stop: int, step: int = 1) -> int | None:
         return next((i for i in range(start, stop, step) if self.vocabulary.parted(self.text, i)), None)
 
-    def _words(self) -> list[str]:
-        return _WORDS.findall(self.text[self.cut_from:self.cut_to])
-
     def _entries(self) -> list[State | None]:
         if self.begin == 0:
             return [None]
@@ -327,7 +375,7 @@ class Chunk:
                             best[leaving] = max(total, best.get(leaving, NEVER))
                     out[state] = best
             return out
-        inner = sum(self.vocabulary.word(w)[1] for w in self._words())
+        inner = self.vocabulary.whole_words(self.text[self.cut_from:self.cut_to])[1]
         if self.last:
             right: dict[State | None, float] = {None: 0.0}
         else:
@@ -353,8 +401,7 @@ class Chunk:
         else:
             if entry is not None:
                 along(self._walks([entry], self.cut_from)[entry], self.cut_from)
-            for word in self._words():
-                ids.extend(v.word(word)[0])
+            ids.extend(v.whole_words(text[self.cut_from:self.cut_to])[0])
             if self.last:
                 return ids
             along_from = Walk(v, text, self.cut_to, None, self.end)
@@ -525,10 +572,10 @@ def encode(docs: DataFrame, model: bytes, chunk: int = CHUNK) -> DataFrame:
     return short.unionByName(long.select("doc_id", "id", "mark").join(whole, ["id", "mark"]).select("doc_id", "ids"))
 
 
-def decoded(vocabulary: Vocabulary, ids: list[int]) -> str:
+def decoded(vocabulary: Vocabulary, ids: list[int], has_bytes: bool = True) -> str:
     """The text of a sequence of ids; bytes that are no UTF-8 become U+FFFD, spaces come back from their sign."""
     pieces, byte_of = vocabulary.pieces, vocabulary.byte_of
-    if byte_of.keys().isdisjoint(ids):
+    if not has_bytes:
         text = "".join(map(pieces.__getitem__, ids))
     else:
         parts = [bytes([byte_of[i]]) if i in byte_of else pieces[i].encode("utf-8", "surrogatepass") for i in ids]
@@ -542,8 +589,15 @@ def decode(encoded: DataFrame, model: bytes) -> DataFrame:
 
     def texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = vocabulary_of(shared)
+        is_byte = np.zeros(len(vocabulary.pieces), dtype=bool)
+        is_byte[list(vocabulary.byte_of)] = True
         for batch in batches:
-            found = pa.array([decoded(vocabulary, ids.as_py() or []) for ids in batch.column("ids")], pa.string())
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("ids"), found], ["doc_id", "ids", "text"])
+            for begin in range(0, batch.num_rows, _ROWS_AT_ONCE):
+                part = batch.slice(begin, _ROWS_AT_ONCE)
+                rows = [np.asarray(x.values) if x.is_valid else np.empty(0, np.int32) for x in part.column("ids")]
+                found = [decoded(vocabulary, row.tolist(), bool(is_byte[row].any())) for row in rows]
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("doc_id"), part.column("ids"), pa.array(found, pa.string())], ["doc_id", "ids", "text"]
+                )
 
     return encoded.select("doc_id", "ids").mapInArrow(texts, "doc_id long, ids array<int>, text string")
