@@ -19,9 +19,6 @@ from ebbline.streaming.score import request_stream, stream_scores, stream_scores
 from ebbline.streaming.upsert import merged, stream_changes
 from ebbline.workspace import new_path, stage
 
-# Quick to train and with a saved form; the full comparison uses every model.
-_BUNDLE_MODELS = ["Logistic Regression", "Decision Tree", "Gradient Boosting"]
-
 
 @lru_cache(maxsize=4)
 def _prepared(app: str, sf_dir: str) -> training.TrainingSet:
@@ -30,7 +27,7 @@ def _prepared(app: str, sf_dir: str) -> training.TrainingSet:
 
 @lru_cache(maxsize=4)
 def _compared(app: str, sf_dir: str) -> training.Comparison:
-    return training.train_models(_prepared(app, sf_dir), _BUNDLE_MODELS)
+    return training.train_models(_prepared(app, sf_dir))
 
 
 def prepared(spark, sf_dir) -> training.TrainingSet:
@@ -98,10 +95,16 @@ def cv_results(spark, sf_dir):
 
 @register("model_comparison")
 def model_comparison(spark, sf_dir):
-    """Test metrics of the trained models and of their soft vote."""
+    """Test metrics of all models, each with its short grid, and of the soft vote of the first three."""
     return compared(spark, sf_dir).metrics
 
 
+@register("cv_results_full_grids")
+def cv_results_full_grids(spark, sf_dir):
+    """Every point of every full grid, cross-validated; `cv_results` has the short grids."""
+    return training.train_models(prepared(spark, sf_dir), grid="full").cv
+
+
 @register("model_registry")
 def model_registry(spark, sf_dir):
     """Save the best model's bundle, register all metrics, and read the table back."""
@@ -119,8 +122,8 @@ def executive_summary(spark, sf_dir):
 
 @register("run_analysis")
 def run_analysis(spark, sf_dir):
-    """The complete analysis with the quick models; every report with its number of rows."""
-    done = analysis.run_analysis(churn(spark, sf_dir), new_path(spark, "analysis"), instant(), _BUNDLE_MODELS)
+    """The complete analysis with all models; every report with its number of rows."""
+    done = analysis.run_analysis(churn(spark, sf_dir), new_path(spark, "analysis"), instant())
     counts = [
         done.report(spark, name).agg(F.lit(name).alias("report"), F.count("*").alias("rows")) for name in done.reports
     ]

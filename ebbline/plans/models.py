@@ -47,7 +47,7 @@ def _product(grid: dict[str, list]) -> list[dict]:
 
 @dataclass(frozen=True)
 class ModelSpec:
-    """A classifier: how to build it from one grid point, its full grid and the short default grid."""
+    """A classifier: how to build it from one grid point, its full grid and the short default grid (some of its points)."""
 
     name: str
     build: Any
@@ -200,21 +200,21 @@ SPECS = [
     ),
     ModelSpec(
         "XGBoost", boosted, _product(SAMPLED_BOOST_GRID),
-        [{"n_estimators": 20, "learning_rate": 0.1, "max_depth": 3, "subsample": 0.8, "colsample_bytree": 0.8}],
+        [{"n_estimators": 100, "learning_rate": 0.1, "max_depth": 3, "subsample": 0.8, "colsample_bytree": 0.8}],
     ),
     ModelSpec(
         "Gradient Boosting", boosted, _product(BOOST_GRID),
-        [{"n_estimators": 20, "learning_rate": 0.1, "max_depth": 3, "subsample": 1.0}],
+        [{"n_estimators": 100, "learning_rate": 0.1, "max_depth": 3, "subsample": 1.0}],
     ),
     ModelSpec(
         "Extra Trees", lambda point, rows: ExtraTrees(point), _product(EXTRA_TREES_GRID),
-        [{"n_estimators": 20, "max_depth": 5, "min_samples_split": 2, "class_weight": None}],
+        [{"n_estimators": 100, "max_depth": 5, "min_samples_split": 2, "class_weight": None}],
     ),
     # Joins only when the sampled boosting above could be trained; library defaults, no grid search.
     ModelSpec(
         "LightGBM", boosted,
         [{"n_estimators": 100, "learning_rate": 0.1, "max_depth": 5, "subsample": 1.0}],
-        [{"n_estimators": 20, "learning_rate": 0.1, "max_depth": 5, "subsample": 1.0}],
+        [{"n_estimators": 100, "learning_rate": 0.1, "max_depth": 5, "subsample": 1.0}],
     ),
 ]
 BY_NAME = {spec.name: spec for spec in SPECS}

@@ -1,13 +1,15 @@
 import json
+from types import SimpleNamespace
 
 import pytest
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import functions as F
 
+from ebbline.catalog import model_queries
 from ebbline.fixed_values import BOOST_GRID, EXTRA_TREES_GRID, FOREST_GRID, KEY, NEIGHBOUR_GRID, SAMPLED_BOOST_GRID, TREE_GRID
 from ebbline.operators.evaluate import ranking_metrics
 from ebbline.operators.split import stratified_folds, train_test, with_class_weight
-from ebbline.plans import models, registry, scoring, training
+from ebbline.plans import analysis, models, registry, scoring, training
 from ebbline.plans.features import FeaturePipeline
 from ebbline.schemas import REQUEST
 from ebbline.sources.base_view import load_churn_table
@@ -31,6 +33,34 @@ def test_grids_have_the_expected_sizes():
     assert sizes == [20, 16, 72, 216, 72, 36, 24]
 
 
+def test_short_points_lie_inside_the_full_grids():
+    assert all(spec.short and all(point in spec.full for point in spec.short) for spec in models.SPECS)
+
+
+def test_registered_queries_train_every_model(monkeypatch):
+    asked = []
+
+    def train_models(data, names=None, grid="short"):
+        asked.append(([s.name for s in models.SPECS] if names is None else names, grid))
+        return SimpleNamespace(cv=None)
+
+    def run_analysis(churn, root, at=None, models=None, grid="short"):
+        train_models(churn, models, grid)
+        return SimpleNamespace(reports=[])
+
+    monkeypatch.setattr(training, "train_models", train_models)
+    monkeypatch.setattr(analysis, "run_analysis", run_analysis)
+    for name in ("_prepared", "prepared", "churn", "new_path"):
+        monkeypatch.setattr(model_queries, name, lambda *_: None)
+    monkeypatch.setattr(model_queries, "instant", lambda: None)
+    model_queries._compared.__wrapped__("app", "sf")
+    model_queries.cv_results_full_grids(None, "sf")
+    with pytest.raises(TypeError):  # no reports to unite
+        model_queries.run_analysis(None, "sf")
+    every = [s.name for s in models.SPECS]
+    assert asked == [(every, "short"), (every, "full"), (every, "short")]
+
+
 @pytest.fixture(scope="module")
 def planted(spark):
     """Features x1, x2 and a category drive y; the rest is noise. `shuffled` has y in another order."""
