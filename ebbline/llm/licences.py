@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,19 +18,40 @@ EQUIVALENT = (
     ("whilst", "while"), ("wilful", "willful"), ("programme", "program"), ("per cent", "percent"), ("v3", "version 3"),
 )
 
-# The wording of licences and of notices that name one.
-NOTICES = (
-    ("MIT", "Released under the MIT License."),
-    ("MIT", "Licensed under the MIT License."),
-    ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
-    ("Apache-2.0", "SPDX-License-Identifier: Apache-2.0"),
-    ("MIT", "SPDX-License-Identifier: MIT"),
-    ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3."),
-    ("GPL-3.0", "SPDX-License-Identifier: GPL-3.0"),
-    ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
-    ("CC-BY-NC-4.0", "SPDX-License-Identifier: CC-BY-NC-4.0"),
+# Known licences, read where the query is planned: texts/<id>[.variant].txt, SPDX ids, and names and headers as id|wording.
+DATA = Path(__file__).parent / "licence_data"
+# How a notice line goes on to the name of a licence.
+NOTICE_BEGINS = (
+    "Released under the", "Licensed under the", "Licensed under", "Distributed under the", "Available under the",
+    "This work is licensed under the", "This work is licensed under a", "This project is licensed under the",
+    "This software is licensed under the", "This file is licensed under the", "This program is licensed under the",
 )
-TEXTS = (
+
+
+def _pairs(name: str) -> list[tuple[str, str]]:
+    return [tuple(line.split("|", 1)) for line in (DATA / name).read_text(encoding="utf-8").splitlines()]
+
+
+NOTICES = tuple(dict.fromkeys(
+    [(i, f"{begin} {name}.") for i, name in _pairs("names.txt") for begin in NOTICE_BEGINS]
+    + [(i, f"SPDX-License-Identifier: {i}") for i in (DATA / "spdx_ids.txt").read_text(encoding="utf-8").split()]
+    + _pairs("headers.txt")
+))
+
+
+def _texts() -> list[tuple[str, str]]:
+    """The texts of the data folder; one with an appendix after its terms also without it."""
+    found = []
+    for path in sorted((DATA / "texts").iterdir()):
+        text, end = path.read_text(encoding="utf-8"), "END OF TERMS AND CONDITIONS"
+        name = path.name.removesuffix(".txt")
+        for variant in ("numbers", "bullets"):
+            name = name.removesuffix("-titled").removesuffix(f".{variant}")
+        found += [(name, text)] + ([(name, text[:text.rindex(end) + len(end)])] if end in text else [])
+    return found
+
+
+_SHORT = (
     ("MIT", """MIT License
 
 Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated
@@ -63,6 +86,9 @@ ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CO
 THIS SOFTWARE."""),
 )
 
+# The short ones also without their title line.
+TEXTS = (*_texts(), *((i, t.split("\n\n", 1)[1]) for i, t in _SHORT if i != "0BSD"), *_SHORT)
+
 COPYRIGHT_LINE = (
     r"(?m)^[^a-z0-9\n]*(?:copyright[^a-z0-9\n]*(?:\(c\)|©|c |[0-9]{4}|by )|\(c\)|©|all rights reserved\W*$)[^\n]*$"
 )
@@ -91,7 +117,7 @@ def one_line(lines: Column) -> Column:
 def known_licences(spark: SparkSession) -> DataFrame:
     """license_id, scope ('text' or 'notice'), text."""
     rows = [(i, "text", t) for i, t in TEXTS] + [(i, "notice", t) for i, t in NOTICES]
-    values = ", ".join("(" + ", ".join("'" + v.replace("'", "\\'") + "'" for v in row) + ")" for row in rows)
+    values = ", ".join("(" + ", ".join("'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'" for v in row) + ")" for row in rows)
     return spark.sql(f"SELECT * FROM VALUES {values} AS known(license_id, scope, text)")
 
 

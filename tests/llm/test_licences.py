@@ -36,3 +36,20 @@ def test_notices_and_edges(spark):
     assert license_scan(docs, known_licences(spark)).count() == 4
     assert license_scan(docs.limit(0), known_licences(spark)).count() == 0
     assert license_scan(docs, known_licences(spark).limit(0)).filter("license_id is not null").count() == 0
+
+
+def test_licences_beyond_those_of_the_supplied_documents(spark):
+    known = {}
+    for name, text in TEXTS:
+        known.setdefault(name, text)
+    whole = ["Apache-2.0", "BSD-2-Clause", "BSD-3-Clause", "GPL-2.0", "GPL-3.0", "LGPL-2.1", "LGPL-3.0", "MPL-2.0", "CC0-1.0", "Unlicense"]
+    found = scan(spark, ["Copyright 2020 Some Body\n\n" + known[i].upper().replace("\n", "\n   ") for i in whole])
+    assert [x[0] for x in found] == whole
+    lines = {
+        "// SPDX-License-Identifier: BSD-3-Clause": "BSD-3-Clause", "# SPDX-License-Identifier: AGPL-3.0-or-later": "AGPL-3.0-or-later",
+        "Licensed under the Apache License 2.0": "Apache-2.0", "Licensed under the BSD 3-Clause Licence.": "BSD-3-Clause",
+        "Released under the GNU GPL v3.": "GPL-3.0", "This work is licensed under a Creative Commons Attribution 4.0 International License.": "CC-BY-4.0",
+    }
+    assert [x[1] for x in scan(spark, [f"code\n{line}\ncode" for line in lines])] == list(lines.values())
+    rows = scan(spark, [f"SPDX-License-Identifier: {i}" for i in ("ISC", "Zlib", "EPL-2.0", "NoSuchLicense-1.0")])
+    assert rows == [("ISC", "ISC", 1), ("Zlib", "Zlib", 1), ("EPL-2.0", "EPL-2.0", 1), (None, "", 0)]
