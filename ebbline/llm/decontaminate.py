@@ -52,6 +52,39 @@ def _joined(coded: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     return words, first[:-1]
 
 
+def _suffix_order(words: np.ndarray) -> np.ndarray:
+    """The positions of all words but zeros in the order of their whole suffixes, each up to its zero.
+
+    Sorted by DEPTH words first; suffixes that tie are ordered by the rank of what follows, twice as far each time.
+    """
+    order = np.flatnonzero(words > 0)
+    if not len(order):
+        return order
+    keys = _keys(words, order)
+    by_key = np.argsort(keys, kind="stable")
+    order, keys = order[by_key], keys[by_key]
+    fresh = np.concatenate(([True], keys[1:] != keys[:-1]))
+    ends = keys.view(">u4").reshape(-1, DEPTH)[:, -1] == 0
+    rank, whole = np.zeros(len(words), dtype=np.int64), np.zeros(len(words), dtype=bool)
+    rank[order] = np.maximum.accumulate(np.where(fresh, np.arange(len(order)), 0)) + 1
+    whole[order], whole[words == 0] = ends, True  # nothing follows that could part a tie
+    slots = np.flatnonzero(~ends & ~(fresh & np.append(fresh[1:], True)))
+    length = DEPTH
+    while len(slots):
+        at = order[slots]
+        first, second = rank[at], rank[at + length]
+        by = np.lexsort((second, first))
+        at, first, second = at[by], first[by], second[by]
+        order[slots] = at
+        fresh = np.concatenate(([True], (first[1:] != first[:-1]) | (second[1:] != second[:-1])))
+        done = whole[at + length]
+        rank[at] = slots[np.maximum.accumulate(np.where(fresh, np.arange(len(slots)), 0))] + 1
+        whole[at] = done
+        slots = slots[~done & ~(fresh & np.append(fresh[1:], True))]
+        length *= 2
+    return order
+
+
 class Tests:
     """A block of test items: their vocabulary, their suffixes and the distinct windows these begin with."""
 
@@ -108,18 +141,23 @@ class Shard:
 
     def longest(self, tests: Tests) -> tuple[np.ndarray, np.ndarray]:
         """(words, position) of the longest match of every test suffix: one of its two neighbours in suffix order."""
-        if not len(self.keys):
-            return np.zeros(len(tests.at), dtype=np.int64), np.zeros(len(tests.at), dtype=np.int64)
-        place = np.searchsorted(self.keys, tests.suffixes)
         best, where = np.zeros(len(tests.at), dtype=np.int64), np.zeros(len(tests.at), dtype=np.int64)
-        for neighbour in (place - 1, place):
-            at = self.suffixes[np.clip(neighbour, 0, len(self.keys) - 1)]
+        size = len(self.words)
+        order = _suffix_order(np.concatenate((self.words, tests.words)))
+        slot = np.zeros(size + len(tests.words), dtype=np.int64)
+        slot[order] = np.arange(len(order))
+        ours = np.where(order < size, np.arange(len(order)), -1)
+        before = np.maximum.accumulate(ours)
+        behind = np.minimum.accumulate(np.where(ours < 0, len(order), ours)[::-1])[::-1]
+        for neighbour in (before, behind):
+            near = neighbour[slot[tests.at + size]]
+            going = np.flatnonzero((near >= 0) & (near < len(order)))
+            at = np.full(len(near), size - 1)
+            at[going] = order[near[going]]
             length = np.zeros(len(at), dtype=np.int64)
-            going = np.arange(len(at))
             while len(going):  # one word further for all that still match
-                ours = self.words[np.minimum(at[going] + length[going], len(self.words) - 1)]
-                theirs = tests.words[np.minimum(tests.at[going] + length[going], len(tests.words) - 1)]
-                going = going[(ours == theirs) & (ours > 0)]
+                our = self.words[at[going] + length[going]]
+                going = going[(our == tests.words[tests.at[going] + length[going]]) & (our > 0)]
                 length[going] += 1
             better = length > best
             best[better], where[better] = length[better], at[better]

@@ -8,7 +8,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ebbline.llm.decontaminate import contamination
+from ebbline.llm.decontaminate import contamination, longest_matches
 from ebbline.llm.exact import exact_duplicates
 from ebbline.llm import licences
 from ebbline.llm.pieces import decode, encode
@@ -85,6 +85,12 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@_query("op1_longest_matches")
+def op1_longest_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The longest verbatim match of every test suffix, with its place."""
+    return longest_matches(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
 def _judged(scores: DataFrame, threshold: float) -> DataFrame:
     return scores.select(
         "doc_id",

@@ -69,6 +69,34 @@ def test_longest_matches(spark):
     assert max(found) == 18
 
 
+def test_longest_of_many_places_that_share_their_first_words(spark):
+    passage = [f"w{i}" for i in range(200)]
+    texts = [" ".join(passage[:20]), "no " + " ".join(passage[:40]) + " no", " ".join(passage), " ".join(passage[:100])]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    benchmark = spark.createDataFrame([(1, " ".join(passage))], "item_id int, text string")
+    found = {r.item_word: (r.n_words, r.doc_id, r.doc_word) for r in longest_matches(docs, benchmark).collect()}
+    assert found == {i: (200 - i, 2, i) for i in range(191)}
+
+
+def test_longest_equals_brute_force():
+    draw = np.random.default_rng(3)
+    copied = ["a"] * 70 + list(draw.choice(["a", "b"], 50)) + ["c"] * 40
+    texts = [["a"] * n for n in (5, 33, 64, 150)] + [copied[i:j] + ["x"] for i, j in ((0, 90), (10, 160), (60, 130), (100, 160))]
+    tests = decontaminate.Tests([("1", " ".join(copied)), ("2", "a " * 90), ("3", "b c")], 10)
+    code = [np.array([tests.vocabulary.get(w.encode(), 0) for w in t], dtype=np.uint32) for t in texts]
+    shard = decontaminate.Shard(tests, code)
+    length, at = shard.longest(tests)
+
+    def common(i, j):
+        n = 0
+        while shard.words[i + n] and shard.words[i + n] == tests.words[j + n]:
+            n += 1
+        return n
+
+    for n, i, j in zip(length, at, tests.at):
+        assert n == max(common(k, j) for k in range(len(shard.words) - 1)) and (n == 0 or n == common(i, j))
+
+
 def test_small_shards_change_nothing(spark, sf_dir, monkeypatch):
     docs, tests = (spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("documents", "benchmark"))
     whole = sorted(map(tuple, contamination(docs, tests).collect()))
