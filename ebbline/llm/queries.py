@@ -11,6 +11,9 @@ from pyspark.sql import functions as F
 from ebbline.llm.decontaminate import contamination, longest_matches
 from ebbline.llm.exact import exact_duplicates
 from ebbline.llm import licences
+from ebbline.llm.hard_negatives import hard_negatives
+from ebbline.llm.lexical import ranked_documents
+from ebbline.llm.minhash import minhash_groups
 from ebbline.llm.pieces import decode, encode
 from ebbline.llm.quality import quality_scores
 from ebbline.llm.repeats import remove_repeats
@@ -228,3 +231,74 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_path(spark, "archive")
     write_archive(read_table(spark, sf_dir, "pages"), path)
     return read_archive(spark, path).drop("warc_date", "record_bytes")
+
+
+_WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+_LOWER_TEXT = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+
+@_query("op11_lexical_search", f"""
+WITH t AS (
+    SELECT doc_id, unnest(regexp_extract_all({_LOWER_TEXT.format("text")}, '{_WORD}')) AS term FROM documents),
+lengths AS (SELECT doc_id, count(*) AS n FROM t GROUP BY doc_id),
+totals AS (SELECT count(*) AS big_n, sum(n)::BIGINT AS big_l FROM lengths),
+tf AS (SELECT doc_id, term, count(*) AS tf FROM t GROUP BY doc_id, term),
+weights AS (
+    SELECT term, floor(1000 * ln((2 * big_n + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w
+    FROM tf, totals GROUP BY term, big_n),
+asked AS (
+    SELECT DISTINCT item_id, unnest(regexp_extract_all({_LOWER_TEXT.format("text")}, '{_WORD}')) AS term FROM benchmark),
+scored AS (
+    SELECT item_id, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * big_n) // big_l))))::BIGINT AS score
+    FROM asked JOIN weights USING (term) JOIN tf USING (term) JOIN lengths USING (doc_id), totals GROUP BY item_id, doc_id),
+ranked AS (
+    SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank, doc_id, score
+    FROM scored WHERE score > 0)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM ranked WHERE rank <= 10""")
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_documents(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"), k=10)
+
+
+@_query("op12_hard_negatives", """
+WITH v AS (
+    SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+           list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e
+    FROM embeddings
+    WHERE label IS NOT NULL AND embedding IS NOT NULL
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+    SELECT a.vec_id AS anchor_id, b.vec_id AS other_id, a.label = b.label AS same,
+           list_inner_product(a.e, b.e)::BIGINT AS score
+    FROM v AS a JOIN v AS b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id),
+p AS (
+    SELECT anchor_id, other_id AS positive_id, score AS positive_score FROM s WHERE same
+    QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5)
+SELECT anchor_id, positive_id, row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other_id)::INTEGER AS rank,
+       other_id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s USING (anchor_id)
+WHERE NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+QUALIFY row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other_id) <= 3""")
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = read_table(spark, sf_dir, "embeddings").select("vec_id", label.alias("label"), "embedding")
+    return hard_negatives(rows, F.col("vec_id") % 50 == 0)
+
+
+@_query("op13_minhash", f"""
+WITH RECURSIVE w AS (
+    SELECT doc_id, coalesce(regexp_extract_all({_LOWER_TEXT.format("text")}, '[^\x20\x09-\x0D]+'), []::VARCHAR[]) AS w
+    FROM documents),
+s AS (
+    SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS shingle
+    FROM (SELECT doc_id, w, unnest(range(1, greatest(2, len(w) - 3))) AS i FROM w WHERE len(w) > 0)),
+sizes AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+common AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n FROM s AS a JOIN s AS b USING (shingle) GROUP BY a.doc_id, b.doc_id),
+links AS (
+    SELECT a, b FROM common AS c JOIN sizes AS x ON x.doc_id = a JOIN sizes AS y ON y.doc_id = b
+    WHERE 100 * c.n >= 85 * (x.n + y.n - c.n)),
+reached AS (SELECT doc_id, doc_id AS other FROM w UNION SELECT r.doc_id, b FROM reached AS r JOIN links ON a = other),
+least AS (SELECT doc_id, min(other) AS component_id FROM reached GROUP BY doc_id)
+SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id, doc_id = component_id AS kept
+FROM least LEFT JOIN sizes USING (doc_id)""")
+def op13_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash_groups(read_table(spark, sf_dir, "documents"))
