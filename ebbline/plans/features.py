@@ -13,7 +13,7 @@ from ebbline.fixed_values import (
 )
 from ebbline.functions.expressions import binary_code, engineered_columns, named, to_number
 from ebbline.operators.encode import fit_levels, indicator_names, one_hot
-from ebbline.operators.neighbours import donor_points, impute
+from ebbline.operators.neighbours import Donors, donor_points, impute
 from ebbline.operators.profile import columns_of
 from ebbline.schemas import ATTRIBUTE_NAMES
 
@@ -56,7 +56,7 @@ class FeaturePipeline:
     """
 
     levels: dict[str, list[str]]
-    donors: DataFrame
+    donors: Donors
 
     @classmethod
     def fit(cls, df: DataFrame) -> FeaturePipeline:
@@ -94,12 +94,12 @@ class FeaturePipeline:
     def save(self, spark: SparkSession, path: str) -> None:
         text = json.dumps(self.levels)
         spark.createDataFrame([(text,)], "levels string").write.mode("overwrite").parquet(f"{path}/levels")
-        self.donors.write.mode("overwrite").parquet(f"{path}/donors")
+        self.donors.save(f"{path}/donors")
 
     @classmethod
     def load(cls, spark: SparkSession, path: str) -> FeaturePipeline:
         levels = json.loads(spark.read.parquet(f"{path}/levels").head()["levels"])
-        return cls(levels, spark.read.parquet(f"{path}/donors"))
+        return cls(levels, Donors.load(spark, f"{path}/donors"))
 
 
 def numeric_features(df: DataFrame) -> list[str]:

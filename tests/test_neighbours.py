@@ -1,17 +1,19 @@
+import bisect
 import random
 
 import numpy as np
 import pandas as pd
 import pytest
-from ebbline.operators import knn
+from ebbline.operators import knn, ladder, neighbours
 from ebbline.operators.neighbours import donor_points, impute
+from ebbline.workspace import new_path
 
 
 def brute(pdf, k=5):
     donors = pdf[pdf["y"].notna()]
     out = {}
     for _, row in pdf[pdf["y"].isna()].iterrows():
-        square = (donors["t"] - row["t"]) ** 2 + (donors["m"] - row["m"]) ** 2
+        square = (donors["t"].astype(float) - row["t"]) ** 2 + (donors["m"] - row["m"]) ** 2
         near = donors.assign(square=square).sort_values(["square", "id"]).head(k)
         out[row["id"]] = near["y"].mean()
     return out
@@ -51,6 +53,51 @@ def test_fewer_than_five_donors(spark):
     assert imputed(spark, pdf) == {"d": 6.0}
 
 
+def test_lines_far_apart_cost_what_exists(spark):
+    """Absurd, negative and missing lines: the work follows the lines that hold donors, not the numbers between."""
+    rows = [(f"d{i}", t, float(i), float(i * i)) for i, t in enumerate([0, 0, 0, 2_000_000_000, 2_000_000_000, -2_000_000_000, 7, 7])]
+    rows += [("a", 5, 2.0, None), ("b", 2_000_000_000, 3.5, None), ("c", -1_000_000_000, 0.0, None), ("e", 1_000_000_000, 9.0, None)]
+    pdf = pd.DataFrame(rows, columns=["id", "t", "m", "y"])
+    got, want = imputed(spark, pdf), brute(pdf)
+    assert got == pytest.approx(want, abs=1e-9) and len(got) == 4
+    df = spark.createDataFrame([("x", None, 1.0, None), ("y", 3, 1.0, 2.0), ("z", 3, 1.5, None)], "id string, t int, m double, y double")
+    out = {r.id: r.y for r in impute(df, donor_points(df, "y", "t", "m", "id"), "y", "t", "m").collect()}
+    assert out == {"x": None, "y": 2.0, "z": 2.0}
+
+
+def test_lines_are_visited_outward_until_none_can_be_nearer(spark, monkeypatch):
+    """Many lines with one donor each, some of them far from the probe's place: several rounds, equal to brute force."""
+    monkeypatch.setattr(neighbours, "_LINES_AT_ONCE", 2)
+    draw = random.Random(4)
+    rows = [(f"d{i:03d}", i - 150, draw.uniform(0, 400), draw.random()) for i in range(300) if i % 7]
+    rows += [(f"g{i}", draw.randint(-200, 200), draw.uniform(-50, 450), None) for i in range(25)]
+    pdf = pd.DataFrame(rows, columns=["id", "t", "m", "y"])
+    got, want = imputed(spark, pdf), brute(pdf)
+    assert got == pytest.approx(want, abs=1e-9)
+
+
+def test_a_ladder_ranks_any_value(spark, monkeypatch):
+    monkeypatch.setattr(ladder, "_LEAF", 4)
+    monkeypatch.setattr(ladder, "_FAN", 4)
+    draw = random.Random(2)
+    for size in (0, 1, 3, 90):
+        keys = sorted(draw.sample(range(-500, 500), size))
+        made = ladder.Ladder.fit(spark.createDataFrame([(float(k),) for k in keys], "key double"), "ladder-test")
+        assert [(r.key, r.slot) for r in made.keys.orderBy("slot").collect()] == [(float(k), i) for i, k in enumerate(keys, 1)]
+        values = spark.createDataFrame([(v / 2,) for v in range(-1010, 1010, 3)], "v double")
+        for found in made.place(values, "v", "rank").collect():
+            assert found["rank"] == bisect.bisect_right(keys, found["v"])
+
+
+def test_donors_survive_saving(spark):
+    df = spark.createDataFrame([(f"c{i}", i % 9, i / 7, float(i) if i % 5 else None) for i in range(200)],
+                               "id string, t int, m double, y double")
+    donors, path = donor_points(df, "y", "t", "m", "id"), new_path(spark, "donors")
+    donors.save(path)
+    both = [sorted(map(tuple, impute(df, d, "y", "t", "m").collect())) for d in (donors, neighbours.Donors.load(spark, path))]
+    assert both[0] == both[1]
+
+
 def test_no_donors_leaves_the_gap(spark):
     pdf = pd.DataFrame([("a", 1, 1.0, None)], columns=["id", "t", "m", "y"])
     assert pd.isna(imputed(spark, pdf)["a"])
