@@ -93,6 +93,14 @@ def _setter(width: int):
     return sets
 
 
+def _spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """shingle, node: the sets as rows."""
+    for batch in batches:
+        for node, held in zip(batch.column("node").to_pylist(), batch.column("shingles")):
+            shingles = np.frombuffer(held.as_py(), dtype=np.int64)
+            yield pa.RecordBatch.from_pydict({"shingle": shingles, "node": np.full(len(shingles), node, dtype=np.int64)})
+
+
 def _symbol(place: int) -> Column:
     return F.substring("signature", 2 * place + 1, 2)
 
@@ -107,6 +115,12 @@ def _keys(nodes: DataFrame) -> DataFrame:
     return nodes.select("node", F.explode(F.array(*keys)).alias("key"))
 
 
+def _buckets(keys: DataFrame) -> DataFrame:
+    """key, hub (its least node) for the keys of several nodes."""
+    found = keys.groupBy("key").agg(F.min("node").alias("hub"), F.max("node").alias("last")).filter("hub < last")
+    return stage(found.select("key", "hub"), "minhash-buckets")
+
+
 def _differing():
     @F.pandas_udf("int")
     def differing(a: pd.Series, b: pd.Series) -> pd.Series:
@@ -125,6 +139,32 @@ def _within(pairs: DataFrame, nodes: DataFrame, a: str, b: str, errors: int) ->
     return pairs.filter(_differing()("__a", "__b") <= errors).drop("__a", "__b")
 
 
+def _sets(docs: DataFrame, nodes: DataFrame, members: DataFrame, width: int) -> DataFrame:
+    """node, shingles (the whole set, packed) of the nodes that share a bucket with another one."""
+    wanted = nodes.join(members.select("node").distinct(), "node", "left_semi").select("node", "name", "id", "mark")
+    wanted = stage(wanted, "minhash-wanted")
+    texts = docs.select(*row_key(), whole_text().alias("text"))
+    texts = _likely(texts, wanted).join(wanted.select("id", "mark"), ["id", "mark"], "left_semi").select("text")
+    sets = texts.mapInArrow(_setter(width), "name binary, shingles binary").dropDuplicates(["name"])
+    return stage(sets.join(wanted, "name").select("node", "shingles"), "minhash-sets")
+
+
+def _able(sets: DataFrame, percent: int) -> DataFrame:
+    """node, shared: those that may have a link at all, with how many of their shingles another candidate holds, too.
+
+    No intersection is larger than `shared`, and no union smaller than the set: what a text has alone keeps it
+    from all others, without a comparison. Candidates are compared with candidates only, so counting these is enough.
+    """
+    held = sets.mapInArrow(_spread, "shingle long, node long")
+    alone = held.groupBy("shingle").agg(F.count("*").alias("n"), F.min("node").alias("node")).filter("n = 1")
+    alone = alone.groupBy("node").agg(F.count("*").alias("alone"))
+    size = (F.octet_length("shingles") / 8).cast("long")
+    counted = sets.select("node", size.alias("n_shingles")).join(alone, "node", "left").select(
+        "node", "n_shingles", (F.col("n_shingles") - F.coalesce("alone", F.lit(0))).alias("shared")
+    )
+    return stage(counted.filter(100 * F.col("shared") >= percent * F.col("n_shingles")).select("node", "shared"), "minhash-able")
+
+
 def _homes(nodes: DataFrame, members: DataFrame) -> DataFrame:
     """node, home for the nodes of `members`: a node within ERRORS of it, itself if there is no better one.
 
@@ -168,6 +208,7 @@ def _linker(percent: int):
         hub, alone = rows.column("is_hub").to_numpy(zero_copy_only=False), rows.column("i")[0] == rows.column("j")[0]
         sets = [np.frombuffer(s.as_py(), dtype=np.uint64) for s in rows.column("shingles")]
         sizes = np.array([len(s) for s in sets], dtype=np.int64)
+        shared = rows.column("shared").to_numpy()
         distinct, codes = np.unique(np.concatenate(sets), return_inverse=True)
         begins = np.concatenate(([0], np.cumsum(sizes)[:-1]))
         inside = np.zeros(len(distinct), dtype=np.int8)
@@ -193,7 +234,8 @@ def _linker(percent: int):
         waiting = everyone.copy()
         for x in np.lexsort((node, members)).tolist():
             waiting[x] = False
-            others = waiting & (group != group[x]) & (100 * np.minimum(sizes, sizes[x]) >= percent * np.maximum(sizes, sizes[x]))
+            most = np.minimum(shared, shared[x])
+            others = waiting & (group != group[x]) & (100 * most >= percent * (sizes + sizes[x] - most))
             if not alone:
                 others &= block != block[x]
             if guest[x]:
@@ -205,7 +247,7 @@ def _linker(percent: int):
     return link
 
 
-def _links(docs: DataFrame, nodes: DataFrame, units: DataFrame, width: int, percent: int) -> DataFrame:
+def _links(nodes: DataFrame, units: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Confirmed links (a, b) between nodes, on whole shingle sets."""
     sizes = units.join(nodes.select("node", "n_shingles"), "node").groupBy("unit").agg(
         F.count("*").alias("members"), F.sum("n_shingles").alias("shingles")
@@ -216,21 +258,13 @@ def _links(docs: DataFrame, nodes: DataFrame, units: DataFrame, width: int, perc
         "block", F.pmod(F.xxhash64("node", "unit"), F.col("blocks")).cast("int")
     )
     placed = stage(placed, "minhash-placed")
-    # The set of a hub goes into every pair of blocks: what is linked to it hangs together without further pairs.
-    wanted = nodes.join(placed.select("node").union(placed.select("unit")).distinct(), "node", "left_semi")
-    wanted = stage(wanted.select("node", "name", "id", "mark"), "minhash-wanted")
-    texts = docs.select(*row_key(), whole_text().alias("text"))
-    texts = _likely(texts, wanted).join(wanted.select("id", "mark"), ["id", "mark"], "left_semi").select("text")
-    sets = texts.mapInArrow(_setter(width), "name binary, shingles binary").dropDuplicates(["name"])
-    sets = stage(sets.join(wanted, "name").select("node", "shingles"), "minhash-sets")
-
     others = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda o: F.struct(
         F.least("block", o).alias("i"), F.greatest("block", o).alias("j"), F.lit(False).alias("is_hub")
     ))
     pairs = placed.select("unit", "node", "guest", "block", F.explode(others).alias("pair")).select(
         "unit", "node", "guest", "block", "pair.*"
     )
-    # A hub that is at home elsewhere only helps; where it is a member, it is one already.
+    # The set of a hub goes into every pair of blocks: what is linked to it hangs together without further pairs.
     lines = F.sequence(F.lit(0), F.col("blocks") - 1)
     hubs = sizes.filter("blocks > 1").select("unit", F.explode(lines).alias("i"), "blocks").select(
         "unit", "i", F.explode(F.sequence(F.col("i"), F.col("blocks") - 1)).alias("j")
@@ -253,9 +287,9 @@ def minhash_groups(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT)
     similarity s a symbol differs with probability 1 - s. Signatures within ERRORS = 23 differing symbols are all found:
     of 12 chunks one has one error at most, and each chunk is a key once for every symbol that may be the error.
     (At 0.85 more than 23 of 64 differ in fewer than one of 100,000 pairs; at 0.9, of 10^8.) Buckets are not
-    expanded into pairs: their nodes meet in units around hubs, in blocks of bounded size (`_units`), and a pair of
-    blocks sends the links that connect it, not all. The work of a unit of g sets that are alike but not
-    linked to its hub is still g^2 comparisons, spread over tasks.
+    expanded into pairs: nodes whose own shingles rule out any link go first (`_able`), the others meet in units around
+    hubs, in blocks of bounded size (`_units`), and a pair of blocks sends the links that connect it, not all. The
+    work of a unit of g sets that are alike but not linked to its hub is still g^2 comparisons, spread over tasks.
 
     Null and empty texts have no shingles; such rows stand alone: component_id is their own doc_id and they are
     kept. A null doc_id is passed over when the smallest id is sought; `kept` is then false, unless all ids of the
@@ -276,10 +310,13 @@ def minhash_groups(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT)
         "minhash-nodes",
     )
     keys = _keys(nodes)
-    buckets = keys.groupBy("key").agg(F.min("node").alias("hub"), F.max("node").alias("last")).filter("hub < last")
-    buckets = stage(buckets.select("key", "hub"), "minhash-buckets")
-    members = stage(keys.join(buckets, "key"), "minhash-members")
-    links = stage(_links(docs, nodes, _units(nodes, members), width, percent), "minhash-links")
+    met = stage(keys.join(_buckets(keys), "key").select("key", "node"), "minhash-met")
+    sets = _sets(docs, nodes, met, width)
+    able = _able(sets, percent)
+    met = met.join(able.select("node"), "node")
+    members = stage(met.join(_buckets(met), "key"), "minhash-members")
+    units = _units(nodes, members)
+    links = stage(_links(nodes, units, sets.join(able, "node"), percent), "minhash-links")
     found = components(links)
     linked = nodes.join(found, "node").select("name", "component", "first_id")
     smallest = linked.groupBy("component").agg(F.min("first_id").alias("component_id"))
