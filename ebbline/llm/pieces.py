@@ -30,6 +30,7 @@ _MEMO_WORDS = 400_000
 _MEMO_PAIRS = 300_000
 _MEMO_ENDS = 100_000
 _SHORT_END = 12  # characters
+_SHORT_WORD = 48  # characters: up to here merging, which is quadratic, is quicker than the search for the stable path
 _LONG = 5
 _SHORT = (4, 3, 2, 1)
 
@@ -205,10 +206,29 @@ class Vocabulary:
         """Ids of a word that is encoded alone (BPE); `name` is what it is remembered by."""
         found = self._words[name]
         if found is None:
-            found = self._stable_ids(word)
+            found = self._merged_ids(word) if len(word) <= _SHORT_WORD else self._stable_ids(word)
             self._words.add(name, found)
         return found
 
+    def _merged_ids(self, word: str) -> tuple[int, ...]:
+        """Ids of a short word by merging it as the model does: the best score first, the leftmost of equal ones."""
+        score = self.score.get
+        symbols = list(word)
+        scores = [score(a + b, NEVER) for a, b in zip(symbols, symbols[1:])]
+        while scores and (best := max(scores)) > NEVER:
+            i = scores.index(best)
+            symbols[i] += symbols.pop(i + 1)
+            del scores[i]
+            if i:
+                scores[i - 1] = score(symbols[i - 1] + symbols[i], NEVER)
+            if i < len(scores):
+                scores[i] = score(symbols[i] + symbols[i + 1], NEVER)
+        ids = self.ids
+        try:
+            return tuple([ids[s] for s in symbols])
+        except KeyError:
+            return tuple([i for s in symbols for i in self.ids_of(s)])
+
     def _stable_ids(self, word: str) -> tuple[int, ...]:
         """The only path of score 0 through a word: depth first, long pieces first. A place is reached by one stable
         path at most, so one that leads nowhere is never tried again. How a word ends depends on what is left of
