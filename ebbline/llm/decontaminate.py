@@ -24,6 +24,9 @@ _WORD_BYTES = bytes(
 )
 
 
+_LONGEST = pa.struct([("words", pa.int64()), ("item", pa.string()), ("at", pa.int64())])
+
+
 def words_of(text: str | None) -> list[bytes]:
     return (text or "").encode("utf-8", "surrogatepass").translate(_WORD_BYTES).split()
 
@@ -52,39 +55,6 @@ def _joined(coded: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     return words, first[:-1]
 
 
-def _suffix_order(words: np.ndarray) -> np.ndarray:
-    """The positions of all words but zeros in the order of their whole suffixes, each up to its zero.
-
-    Sorted by DEPTH words first; suffixes that tie are ordered by the rank of what follows, twice as far each time.
-    """
-    order = np.flatnonzero(words > 0)
-    if not len(order):
-        return order
-    keys = _keys(words, order)
-    by_key = np.argsort(keys, kind="stable")
-    order, keys = order[by_key], keys[by_key]
-    fresh = np.concatenate(([True], keys[1:] != keys[:-1]))
-    ends = keys.view(">u4").reshape(-1, DEPTH)[:, -1] == 0
-    rank, whole = np.zeros(len(words), dtype=np.int64), np.zeros(len(words), dtype=bool)
-    rank[order] = np.maximum.accumulate(np.where(fresh, np.arange(len(order)), 0)) + 1
-    whole[order], whole[words == 0] = ends, True  # nothing follows that could part a tie
-    slots = np.flatnonzero(~ends & ~(fresh & np.append(fresh[1:], True)))
-    length = DEPTH
-    while len(slots):
-        at = order[slots]
-        first, second = rank[at], rank[at + length]
-        by = np.lexsort((second, first))
-        at, first, second = at[by], first[by], second[by]
-        order[slots] = at
-        fresh = np.concatenate(([True], (first[1:] != first[:-1]) | (second[1:] != second[:-1])))
-        done = whole[at + length]
-        rank[at] = slots[np.maximum.accumulate(np.where(fresh, np.arange(len(slots)), 0))] + 1
-        whole[at] = done
-        slots = slots[~done & ~(fresh & np.append(fresh[1:], True))]
-        length *= 2
-    return order
-
-
 class Tests:
     """A block of test items: their vocabulary, their suffixes and the distinct windows these begin with."""
 
@@ -113,6 +83,10 @@ class Tests:
         self.window_width = self.width[one]
         first, second = low[:, 0].astype(np.int64), low[:, 1].astype(np.int64)
         self.begins = np.unique((first << 32) | second)
+        self.by_window = np.argsort(self.window, kind="stable")  # test suffixes by the window that they begin with
+        self.by_window_from = np.searchsorted(self.window[self.by_window], np.arange(len(one) + 1))
+        self.name_rank = np.empty(len(self.names), dtype=np.int64)
+        self.name_rank[np.array(sorted(range(len(self.names)), key=self.names.__getitem__), dtype=np.int64)] = np.arange(len(self.names))
         pairs = np.unique(np.stack([self.window, self.item], axis=1), axis=0) if len(one) else np.empty((0, 2), np.int64)
         self.window_items = pairs[:, 1]
         self.window_from = np.searchsorted(pairs[:, 0], np.arange(len(one) + 1))
@@ -139,29 +113,33 @@ class Shard:
         within = np.arange(len(window)) - np.repeat(np.cumsum(count) - count, count)
         return window, self.suffixes[np.repeat(start, count) + within]
 
-    def longest(self, tests: Tests) -> tuple[np.ndarray, np.ndarray]:
-        """(words, position) of the longest match of every test suffix: one of its two neighbours in suffix order."""
-        best, where = np.zeros(len(tests.at), dtype=np.int64), np.zeros(len(tests.at), dtype=np.int64)
-        size = len(self.words)
-        order = _suffix_order(np.concatenate((self.words, tests.words)))
-        slot = np.zeros(size + len(tests.words), dtype=np.int64)
-        slot[order] = np.arange(len(order))
-        ours = np.where(order < size, np.arange(len(order)), -1)
-        before = np.maximum.accumulate(ours)
-        behind = np.minimum.accumulate(np.where(ours < 0, len(order), ours)[::-1])[::-1]
-        for neighbour in (before, behind):
-            near = neighbour[slot[tests.at + size]]
-            going = np.flatnonzero((near >= 0) & (near < len(order)))
-            at = np.full(len(near), size - 1)
-            at[going] = order[near[going]]
-            length = np.zeros(len(at), dtype=np.int64)
-            while len(going):  # one word further for all that still match
-                our = self.words[at[going] + length[going]]
-                going = going[(our == tests.words[tests.at[going] + length[going]]) & (our > 0)]
-                length[going] += 1
-            better = length > best
-            best[better], where[better] = length[better], at[better]
-        return best, where
+    def longest(self, tests: Tests, window: np.ndarray, at: np.ndarray) -> dict[int, tuple[int, str, int]]:
+        """Per document with a hit its longest verbatim match: (words, item name, word where it begins).
+
+        Of equally long ones that of the first name, then the first place. `window` and `at` as `find` gives them; each
+        is carried on, word by word, along every test suffix that begins with the window.
+        """
+        count = np.diff(tests.by_window_from)[window]
+        begin = np.repeat(at, count)
+        within = np.arange(len(begin)) - np.repeat(np.cumsum(count) - count, count)
+        suffix = tests.by_window[np.repeat(tests.by_window_from[window], count) + within]
+        there = tests.at[suffix]
+        # A match that a word before it lengthens is part of another one.
+        before = np.where(begin > 0, self.words[begin - 1], 0)
+        first = np.flatnonzero((before == 0) | (there == 0) | (tests.words[there - 1] != before))
+        begin, suffix, there = begin[first], suffix[first], there[first]
+        length = tests.width[suffix]
+        going = np.arange(len(begin))
+        while len(going):
+            word = self.words[begin[going] + length[going]]
+            going = going[(word > 0) & (word == tests.words[there[going] + length[going]])]
+            length[going] += 1
+        doc = np.searchsorted(self.first, begin, "right") - 1
+        order = np.lexsort((begin, tests.name_rank[tests.item[suffix]], -length, doc))
+        best = order[np.flatnonzero(np.diff(doc[order], prepend=-1))]
+        return {
+            int(doc[i]): (int(length[i]), tests.names[tests.item[suffix[i]]], int(begin[i] - self.first[doc[i]])) for i in best
+        }
 
 
 def _shards(batches: Iterator[pa.RecordBatch], tests: Tests) -> Iterator[tuple[pa.Table, list[np.ndarray]]]:
@@ -207,7 +185,13 @@ def _mark(tests: Tests, rows: pa.Table, coded: list[np.ndarray]) -> pa.Table:
     spans = [[] for _ in coded]
     for d, a, b in zip(owner.tolist(), turns[0::2].tolist(), turns[1::2].tolist()):
         spans[d] += [a - int(shard.first[d]), b - int(shard.first[d])]
+    best = shard.longest(tests, window, at)
+    longest = [
+        min(filter(None, (old and (old["words"], old["item"], old["at"]), best.get(d))), key=lambda m: (-m[0], m[1], m[2]), default=None)
+        for d, old in enumerate(rows.column("longest").to_pylist())
+    ]
     new = {
+        "longest": pa.array([m and dict(zip(("words", "item", "at"), m)) for m in longest], _LONGEST),
         "n_words": pa.array([len(c) for c in coded], pa.int64()),
         "spans": pa.array(spans, pa.list_(pa.int64())),
         "items": pa.array(
@@ -236,7 +220,9 @@ def contamination(
     """What of `benchmark` (item_id, text) occurs word for word in each document.
 
     Columns: doc_id, n_words, spans (word positions from, to, from, to, ... of the hit runs), items (names of the
-    items with an occurring window, sorted as strings). One row per row of `docs`; nothing is shuffled.
+    items with an occurring window, sorted as strings), longest (struct: words, item, at, of the longest verbatim
+    match of a window or more; of equals the first name, then the first place; null without hits). One row per row of
+    `docs`; nothing is shuffled.
     Words are runs of 0-9, a-z (A-Z lower-cased) and characters beyond ASCII. A window is `window` words of an
     item that follow each other; an item with fewer words, but not none, is one window.
 
@@ -252,6 +238,7 @@ def contamination(
     found = docs.select(
         *([F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("document")] if carry else []), "doc_id", "text", F.lit(0).cast("long").alias("n_words"), F.array().cast("array<long>").alias("spans"),
         F.array().cast("array<string>").alias("items"),
+        F.lit(None).cast("struct<words:bigint,item:string,at:bigint>").alias("longest"),
     )
     first = True
     for items, last in _blocks(benchmark, block_bytes):
@@ -270,42 +257,3 @@ def _searched(spark, rows: DataFrame, items: list[tuple[str, str]], window: int,
             yield from (marked.drop_columns("text") if last else marked).to_batches()
 
     return rows.mapInArrow(search, (rows.drop("text") if last else rows).schema)
-
-
-def longest_matches(
-    docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_bytes: int = BLOCK_BYTES
-) -> DataFrame:
-    """item_id, item_word, n_words, doc_id, doc_word: per test suffix its longest verbatim match in all documents.
-
-    Only matches of a whole window or more are reported. Each shard names its longest, the longest of these is kept
-    (of equal ones that in the smallest document, first place). Nulls and empty tables as in `contamination`.
-    """
-    spark = docs.sparkSession
-    schema = "item_id string, item_word long, n_words long, doc_id long, doc_word long"
-    found = spark.createDataFrame([], schema)
-
-    def searcher(shared):
-        def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            tests = Tests(shared.value, window)
-            for part, coded in _shards(batches, tests):
-                shard = Shard(tests, coded)
-                length, at = shard.longest(tests)
-                good = np.flatnonzero(length >= tests.width)
-                doc = np.searchsorted(shard.first, at[good], "right") - 1
-                yield pa.RecordBatch.from_pydict({
-                    "item_id": pa.array([tests.names[i] for i in tests.item[good]], pa.string()),
-                    "item_word": pa.array(tests.offset[good]),
-                    "n_words": pa.array(length[good]),
-                    "doc_id": part.column("doc_id").take(pa.array(doc)).combine_chunks(),
-                    "doc_word": pa.array(at[good] - shard.first[doc]),
-                })
-
-        return search
-
-    for items, _ in _blocks(benchmark, block_bytes):
-        shared = spark.sparkContext.broadcast(items)
-        found = found.union(docs.select("doc_id", "text").mapInArrow(searcher(shared), schema))
-    best = F.max(F.struct("n_words", (-F.col("doc_id")).alias("d"), (-F.col("doc_word")).alias("w"))).alias("best")
-    return found.groupBy("item_id", "item_word").agg(best).select(
-        "item_id", "item_word", "best.n_words", (-F.col("best.d")).alias("doc_id"), (-F.col("best.w")).alias("doc_word")
-    )

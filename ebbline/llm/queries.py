@@ -8,7 +8,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ebbline.llm.decontaminate import contamination, longest_matches
+from ebbline.llm.decontaminate import contamination
 from ebbline.llm.exact import exact_duplicates
 from ebbline.llm import licences
 from ebbline.llm.hard_negatives import hard_negatives
@@ -70,11 +70,23 @@ hits AS (
     SELECT id, count(DISTINCT word) AS n_hit FROM (SELECT id, unnest(range(i, i + width)) AS word FROM found) GROUP BY id),
 items AS (
     SELECT id, count(DISTINCT item_id) AS n_items, string_agg(DISTINCT item_id, ',' ORDER BY item_id) AS names
-    FROM found GROUP BY id)
+    FROM found GROUP BY id),
+starts AS (
+    SELECT id AS item_id, i AS off, least(10, len(w)) AS width, array_to_string(w[i:i + least(10, len(w)) - 1], ' ') AS win
+    FROM w, unnest(range(1, len(w) - least(10, len(w)) + 2)) AS r(i) WHERE kind = 'b' AND len(w) > 0),
+steps AS (
+    SELECT p.id, s.item_id, s.width, s.off - p.i AS diagonal, p.i,
+           p.i - row_number() OVER (PARTITION BY p.id, s.item_id, s.width, s.off - p.i ORDER BY p.i) AS run
+    FROM places AS p JOIN starts AS s USING (width, win)),
+longest AS (
+    SELECT id, item_id AS longest_item, count(*) + width - 1 AS longest_words, min(i) - 1 AS longest_at
+    FROM steps GROUP BY id, item_id, width, diagonal, run
+    QUALIFY row_number() OVER (PARTITION BY id ORDER BY count(*) + width DESC, item_id, min(i)) = 1)
 SELECT d.doc_id, len(w.w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
-       sha256(coalesce(names, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+       sha256(coalesce(names, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated,
+       longest_words::BIGINT AS longest_words, longest_item, longest_at::BIGINT AS longest_at
 FROM documents AS d JOIN w ON w.kind = 'd' AND w.id = d.doc_id::VARCHAR LEFT JOIN hits ON hits.id = w.id
-LEFT JOIN items ON items.id = w.id""")
+LEFT JOIN items ON items.id = w.id LEFT JOIN longest ON longest.id = w.id""")
 def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = contamination(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
     lengths = F.expr("aggregate(spans, 0L, (n, x) -> x - n)")  # ((to - (from - n)): alternating sum of the bounds
@@ -85,15 +97,12 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.size("items").cast("long").alias("n_items"),
         F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"),
         (F.size("spans") > 0).alias("contaminated"),
+        F.col("longest.words").alias("longest_words"),
+        F.col("longest.item").alias("longest_item"),
+        F.col("longest.at").alias("longest_at"),
     )
 
 
-@_query("op1_longest_matches")
-def op1_longest_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The longest verbatim match of every test suffix, with its place."""
-    return longest_matches(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
-
-
 def _judged(scores: DataFrame, threshold: float) -> DataFrame:
     return scores.select(
         "doc_id",

@@ -4,7 +4,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from ebbline.llm import decontaminate
-from ebbline.llm.decontaminate import contamination, longest_matches
+from ebbline.llm.decontaminate import contamination
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
@@ -39,7 +39,7 @@ def test_edges_equal_brute_force(spark, monkeypatch):
     ]
     docs = spark.createDataFrame(
         [(None if i == 5 else i, t) for i, t in enumerate(texts)], "doc_id long, text string"
-    ).withColumns({c: F.lit(1) for c in ("spans", "items", "n_words")})
+    ).withColumns({c: F.lit(1) for c in ("spans", "items", "n_words", "longest")})
     tests = spark.createDataFrame(items, "item_id long, text string").withColumn("doc_id", F.lit(0))
     wanted = sorted(
         ((-1 if i == 5 else i, *plain(t, items)) for i, t in enumerate(texts))
@@ -58,48 +58,55 @@ def test_edges_equal_brute_force(spark, monkeypatch):
     assert sorted(r.n_words for r in none) == sorted(w[1] for w in wanted) and not any(r["items"] for r in none)
 
 
-def test_longest_matches(spark):
-    benchmark = spark.createDataFrame([(7, "a b c d e f g h i j k l m n o p q r s t u v w x y z")], "item_id int, text string")
-    docs = spark.createDataFrame(
-        [(1, "no a b c d e f g h i j k l m no"), (2, "b c d e f g h i j k l m n o p q r s t u v"), (3, "q r s t")],
-        "doc_id long, text string",
-    )
-    found = {r.item_word: (r.n_words, r.doc_id, r.doc_word) for r in longest_matches(docs, benchmark, window=4).collect()}
-    assert found[0] == (13, 1, 1) and found[1] == (21, 2, 0) and found[16] == (6, 2, 15)
-    assert max(found) == 18
+def plain_longest(doc, items, window=10):
+    """(words, item, at) of the longest common run that holds a whole window; ties by name, then place."""
+    have, found = words(doc), []
+    for name, text in items:
+        w = words(text)
+        for a in range(len(w)):
+            for at in range(len(have)):
+                n = 0
+                while a + n < len(w) and at + n < len(have) and w[a + n] == have[at + n]:
+                    n += 1
+                if n and n >= min(window, len(w)):
+                    found.append((-n, "null" if name is None else str(name), at))
+    n, name, at = min(found, default=(None, None, None))
+    return found and (-n, name, at) or None
 
 
-def test_longest_of_many_places_that_share_their_first_words(spark):
-    passage = [f"w{i}" for i in range(200)]
-    texts = [" ".join(passage[:20]), "no " + " ".join(passage[:40]) + " no", " ".join(passage), " ".join(passage[:100])]
-    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
-    benchmark = spark.createDataFrame([(1, " ".join(passage))], "item_id int, text string")
-    found = {r.item_word: (r.n_words, r.doc_id, r.doc_word) for r in longest_matches(docs, benchmark).collect()}
-    assert found == {i: (200 - i, 2, i) for i in range(191)}
+def longest(spark, texts, items, **settings):
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    tests = spark.createDataFrame(items, "item_id int, text string")
+    rows = contamination(docs, tests, **settings).collect()
+    return {r.doc_id: r.longest and tuple(r.longest) for r in rows}
 
 
-def test_longest_equals_brute_force():
+def test_longest_equals_brute_force(spark):
     draw = np.random.default_rng(3)
-    copied = ["a"] * 70 + list(draw.choice(["a", "b"], 50)) + ["c"] * 40
-    texts = [["a"] * n for n in (5, 33, 64, 150)] + [copied[i:j] + ["x"] for i, j in ((0, 90), (10, 160), (60, 130), (100, 160))]
-    tests = decontaminate.Tests([("1", " ".join(copied)), ("2", "a " * 90), ("3", "b c")], 10)
-    code = [np.array([tests.vocabulary.get(w.encode(), 0) for w in t], dtype=np.uint32) for t in texts]
-    shard = decontaminate.Shard(tests, code)
-    length, at = shard.longest(tests)
+    copied = ["a"] * 30 + list(draw.choice(["a", "b"], 40)) + ["c"] * 20
+    texts = ["a " * n for n in (5, 12, 40)] + [" ".join(copied[i:j]) + " x" for i, j in ((0, 50), (10, 90), (60, 90), (85, 90))]
+    texts += [None, "", texts[4] + "," + texts[3], "b c", "x b c x b c"]
+    items = [(1, " ".join(copied)), (20, "a " * 35), (3, "b c"), (None, " ".join(copied[20:60])), (5, None), (1, "b c")]
+    wanted = {i: plain_longest(t, items) for i, t in enumerate(texts)}
+    assert longest(spark, texts, items) == wanted
+    assert longest(spark, texts, items, block_bytes=100) == wanted
 
-    def common(i, j):
-        n = 0
-        while shard.words[i + n] and shard.words[i + n] == tests.words[j + n]:
-            n += 1
-        return n
 
-    for n, i, j in zip(length, at, tests.at):
-        assert n == max(common(k, j) for k in range(len(shard.words) - 1)) and (n == 0 or n == common(i, j))
+def test_longest_of_many_places_that_share_their_first_words(spark, monkeypatch):
+    """Whatever the shards and the order of their rows, the longest passage is found where it lies."""
+    passage = [f"w{i}" for i in range(200)]
+    texts = [" ".join(passage[:20]), "no " + " ".join(passage[:40]) + " no", " ".join(passage), " ".join(passage[5:100])]
+    texts.append(" x ".join(texts))
+    items = [(2, " ".join(passage)), (1, " ".join(passage))]
+    wanted = {0: (20, "1", 0), 1: (40, "1", 1), 2: (200, "1", 0), 3: (95, "1", 0), 4: (200, "1", 64)}
+    for size in (1_000_000, 30):
+        monkeypatch.setattr(decontaminate, "SHARD_WORDS", size)
+        assert longest(spark, texts, items) == wanted
 
 
 def test_small_shards_change_nothing(spark, sf_dir, monkeypatch):
     docs, tests = (spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("documents", "benchmark"))
-    whole = sorted(map(tuple, contamination(docs, tests).collect()))
+    whole = sorted(map(tuple, contamination(docs, tests).collect()), key=lambda r: r[0])
     items = [tuple(r) for r in tests.select("item_id", "text").collect()]
     block = decontaminate.Tests([(str(i), t) for i, t in items], 10)
     marked = 0
@@ -108,4 +115,4 @@ def test_small_shards_change_nothing(spark, sf_dir, monkeypatch):
         shard = decontaminate.Shard(block, [np.array(code, dtype=np.uint32)])
         window, at = shard.find(block)
         marked += len({p for w, a in zip(window, at) for p in range(a, a + block.window_width[w])})
-    assert marked == sum(sum(s[1::2]) - sum(s[0::2]) for _, _, s, _ in whole) > 0
+    assert marked == sum(sum(s[1::2]) - sum(s[0::2]) for _, _, s, *_ in whole) > 0

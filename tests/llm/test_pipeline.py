@@ -74,7 +74,7 @@ def test_stages_on_odd_rows(spark, sf_dir):
 
 def test_every_operator_has_one_query():
     names = [n for n in entry.queries() if n.startswith("op") and n.split("_")[0][2:].isdigit()]
-    assert sorted(int(n.split("_")[0][2:]) for n in names) == list(range(1, 11))
+    assert sorted(int(n.split("_")[0][2:]) for n in names) == list(range(1, 14))
     assert "pipeline" in entry.queries() and 4 <= len(corpus_pipeline.STAGES) <= 5
 
 
