@@ -21,7 +21,7 @@ from ebbline.llm.simhash import simhash_groups
 from ebbline.llm.sharding import stratified_shards
 from ebbline.llm.tables import held_out_remainder, read_table
 from ebbline.llm.toxicity import toxicity_scores
-from ebbline.llm.warc import read_archive, write_archive
+from ebbline.llm.warc import DATE, REVISIT_PROFILE, VERSION, read_archive, write_archive
 from ebbline.workspace import new_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -230,16 +230,30 @@ _BASE32 = " || ".join(f"to_base(('0x' || substr(d, {1 + 10 * i}, 10))::BIGINT, 3
 
 @_query("op10_warc", f"""
 WITH p AS (SELECT *, coalesce(html, '') AS payload, sha1(coalesce(html, '')) AS d FROM pages),
-r AS (SELECT *, max(page_id) OVER (PARTITION BY payload) AS first_id FROM p)
-SELECT page_id, url, strlen(payload)::BIGINT AS payload_bytes,
-       translate({_BASE32}, '0123456789ABCDEFGHIJKLMNOPQRSTUV', 'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567') AS payload_digest,
-       CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
-       CASE WHEN page_id <> first_id THEN first_id END AS refers_to
-FROM r""")
+r AS (
+    SELECT *, max(page_id) OVER (PARTITION BY payload) AS first_id,
+           translate({_BASE32}, '0123456789ABCDEFGHIJKLMNOPQRSTUV', 'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567') AS digest
+    FROM p),
+w AS (
+    SELECT *, page_id <> first_id AS again,
+           concat_ws(chr(13) || chr(10), '{VERSION}', 'WARC-Type: ' || CASE WHEN page_id <> first_id THEN 'revisit' ELSE 'response' END,
+               'WARC-Record-ID: <urn:page:' || page_id || '>', 'WARC-Date: {DATE}',
+               'WARC-Target-URI: ' || replace(replace(url, chr(13), '%0D'), chr(10), '%0A'),
+               'WARC-Payload-Digest: sha1:' || digest,
+               CASE WHEN page_id <> first_id THEN 'WARC-Refers-To: <urn:page:' || first_id || '>' END,
+               CASE WHEN page_id <> first_id THEN 'WARC-Profile: {REVISIT_PROFILE}' END,
+               'Content-Type: text/html; charset=utf-8',
+               'Content-Length: ' || CASE WHEN page_id <> first_id THEN 0 ELSE strlen(payload) END,
+               '', CASE WHEN page_id <> first_id THEN '' ELSE payload END, '', '') AS record
+    FROM r)
+SELECT page_id, url, strlen(payload)::BIGINT AS payload_bytes, digest AS payload_digest,
+       CASE WHEN again THEN 'revisit' ELSE 'response' END AS record_type, CASE WHEN again THEN first_id END AS refers_to,
+       strlen(record)::BIGINT AS record_bytes, sha256(record) AS record_sha256
+FROM w""")
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_path(spark, "archive")
     write_archive(read_table(spark, sf_dir, "pages"), path)
-    return read_archive(spark, path).drop("warc_date", "record_bytes")
+    return read_archive(spark, path).drop("warc_date")
 
 
 _WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"

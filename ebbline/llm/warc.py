@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 # Fixed values of the archive format: version line, line end, revisit profile.
 VERSION = "WARC/1.1"
 CRLF = "\r\n"
+DATE = "2024-01-01T00:00:00Z"  # of records whose capture time is not known
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
 
@@ -29,7 +30,7 @@ def _record_id(page: Column) -> Column:
     return F.concat(F.lit("<urn:page:"), page.cast("string"), F.lit(">"))
 
 
-def write_archive(pages: DataFrame, path: str, date: str = "2024-01-01T00:00:00Z", least_bytes: int = 0) -> None:
+def write_archive(pages: DataFrame, path: str, date: str = DATE, least_bytes: int = 0) -> None:
     """Write `pages` (page_id, url, html) as an archive of two Parquet tables under `path`.
 
     `payloads`: address (SHA-256), payload; each distinct payload is stored once. `headers`: page_id, header (the
@@ -107,11 +108,19 @@ def page_of(record_id: Column) -> Column:
 
 def read_archive(spark: SparkSession, path: str) -> DataFrame:
     """What the records say: page_id, url, payload_bytes, payload_digest, record_type, refers_to, warc_date,
-    record_bytes. Sizes and digests are taken from the payload read back, types and references from the header.
+    record_bytes and record_sha256 (of the whole record, rebuilt). Sizes and digests are taken from the payload read
+    back, types and references from the header; a header whose Content-Length isn't the length of its block, or whose
+    WARC-Payload-Digest isn't that of the payload, stops the job.
     """
     records = read_records(spark, path)
     refers = page_of(header_field("WARC-Refers-To"))
-    return records.select(
+    told = (header_field("Content-Length") == F.octet_length("block").cast("string")) & (
+        header_field("WARC-Payload-Digest") == F.concat(F.lit("sha1:"), base32_sha1(F.col("payload")))
+    )
+    record = F.when(told | F.col("payload").isNull(), F.col("record")).otherwise(
+        F.raise_error(F.concat(F.lit("header and payload differ: "), "header")).cast("binary")
+    )
+    return records.withColumn("record", record).select(
         "page_id",
         header_field("WARC-Target-URI").alias("url"),
         F.octet_length("payload").cast("long").alias("payload_bytes"),
@@ -120,4 +129,5 @@ def read_archive(spark: SparkSession, path: str) -> DataFrame:
         F.when(F.length(refers) > 0, refers.cast("long")).alias("refers_to"),
         header_field("WARC-Date").alias("warc_date"),
         F.octet_length("record").cast("long").alias("record_bytes"),
+        F.sha2("record", 256).alias("record_sha256"),
     )

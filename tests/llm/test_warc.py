@@ -51,6 +51,23 @@ def test_small_payloads_are_responses(spark):
     assert {r.record_type for r in found} == {"response"}
 
 
+def test_a_header_that_tells_another_payload_shows(spark):
+    path = archive(spark)
+    for name, value in (("Content-Length", "1"), ("WARC-Payload-Digest", "sha1:A")):
+        broken = new_path(spark, "warc-broken")
+        spark.read.parquet(f"{path}/payloads").write.parquet(f"{broken}/payloads")
+        told = F.regexp_replace("header", f"{name}: [^\r]*", f"{name}: {value}")
+        spark.read.parquet(f"{path}/headers").withColumn("header", told).write.parquet(f"{broken}/headers")
+        with pytest.raises(Exception, match="header and payload differ"):
+            read_archive(spark, broken).collect()
+
+
+def test_record_digests(spark):
+    path = archive(spark)
+    records = sorted(hashlib.sha256(bytes(r.record)).hexdigest() for r in read_records(spark, path).collect())
+    assert sorted(r.record_sha256 for r in read_archive(spark, path).collect()) == records
+
+
 def test_damage_shows(spark):
     path = archive(spark)
     broken = new_path(spark, "warc-broken")
