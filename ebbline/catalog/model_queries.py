@@ -12,7 +12,7 @@ from ebbline.catalog.registry import churn, register, staged_churn
 from ebbline.catalog.table_queries import customers, instant, plain
 from ebbline.fixed_values import KEY
 from ebbline.operators.evaluate import classification_metrics
-from ebbline.plans import analysis, registry, scoring, training
+from ebbline.plans import analysis, deploy, registry, scoring, training
 from ebbline.plans.models import BY_NAME, scored
 from ebbline.sources.requests import parse_requests, to_requests
 from ebbline.streaming.score import request_stream, stream_scores, stream_scores_and_alerts
@@ -41,7 +41,7 @@ def compared(spark, sf_dir) -> training.Comparison:
 @lru_cache(maxsize=4)
 def _bundle(app: str, sf_dir: str) -> registry.ModelBundle:
     data, results, spark = _prepared(app, sf_dir), _compared(app, sf_dir), SparkSession.active()
-    best = results.best_saved()
+    best = results.best
     made = registry.ModelBundle(best, results.models[best], data.features, data.pipeline, data.scale)
     path = new_path(spark, "bundle")
     made.save(spark, path)
@@ -53,10 +53,10 @@ def bundle(spark, sf_dir) -> registry.ModelBundle:
     return _bundle(spark.sparkContext.applicationId, sf_dir)
 
 
-def _trained(spark, sf_dir, name: str) -> DataFrame:
+def _trained(spark, sf_dir, name: str, grid: str = "short") -> DataFrame:
     """Cross-validate, refit and test one model; its metrics and cross-validated ROC-AUC."""
     data, spec = prepared(spark, sf_dir), BY_NAME[name]
-    rows, best = training.cross_validate(spec, data.train)
+    rows, best = training.cross_validate(spec, data.train, grid)
     if best is None:
         raise RuntimeError(f"no grid point of {name} could be trained: {rows}")
     model = training.fit_on_all(spec, best, data.train)
@@ -65,15 +65,42 @@ def _trained(spark, sf_dir, name: str) -> DataFrame:
     return result.withColumns({"cv_roc_auc": F.lit(cv), "parameters": F.lit(str(best))})
 
 
-for _key, _name in {
-    "model_logistic": "Logistic Regression",
-    "model_tree": "Decision Tree",
-    "model_forest": "Random Forest",
-    "model_knn_churn": "K-Nearest Neighbors",
-    "model_gbt": "Gradient Boosting",
-    "model_extra_trees": "Extra Trees",
-}.items():
-    register(_key)(lambda spark, sf_dir, name=_name: _trained(spark, sf_dir, name))
+# The full grid where a few shared or quick fits answer it, else its short points.
+for _key, _name, _grid in (
+    ("model_logistic", "Logistic Regression", "full"),
+    ("model_tree", "Decision Tree", "full"),
+    ("model_forest", "Random Forest", "short"),
+    ("model_knn_churn", "K-Nearest Neighbors", "full"),
+    ("model_gbt", "Gradient Boosting", "short"),
+    ("model_extra_trees", "Extra Trees", "short"),
+):
+    register(_key)(lambda spark, sf_dir, name=_name, grid=_grid: _trained(spark, sf_dir, name, grid))
+
+
+def _searched(spark, sf_dir, names: list[str]) -> DataFrame:
+    """Every point of the full grids of some models, cross-validated."""
+    found = training.cross_validate_all([BY_NAME[n] for n in names], prepared(spark, sf_dir).train, "full")
+    return spark.createDataFrame([row for rows, _ in found.values() for row in rows], training.CV_SCHEMA)
+
+
+@register("cv_grid_shared_fits")
+def cv_grid_shared_fits(spark, sf_dir):
+    """The full grids whose points come from few fits: 108 points of logistic regression, neighbours and trees."""
+    return _searched(spark, sf_dir, ["Logistic Regression", "K-Nearest Neighbors", "Decision Tree"])
+
+
+@register("retrain_deploy")
+def retrain_deploy(spark, sf_dir):
+    """Deploy a tree, retrain with the best of all models as challenger, then offer the same one again: one row a step."""
+    rows, root = staged_churn(spark, sf_dir), new_path(spark, "deployments")
+    data, best = prepared(spark, sf_dir), bundle(spark, sf_dir)
+    tree = compared(spark, sf_dir).models["Decision Tree"]
+    first = registry.ModelBundle("Decision Tree", tree, data.features, data.pipeline, data.scale)
+    steps = []
+    for i, offered in enumerate((first, best, best)):
+        found = deploy.retrain(rows, root, lambda _, offered=offered: (data, offered))
+        steps.append(found.withColumn("step", F.lit(i + 1)))
+    return reduce(DataFrame.unionByName, steps)
 
 
 @register("model_gbt_variants")
@@ -123,7 +150,8 @@ def executive_summary(spark, sf_dir):
 @register("run_analysis")
 def run_analysis(spark, sf_dir):
     """The complete analysis with all models; every report with its number of rows."""
-    done = analysis.run_analysis(churn(spark, sf_dir), new_path(spark, "analysis"), instant())
+    trained = prepared(spark, sf_dir), compared(spark, sf_dir)
+    done = analysis.run_analysis(churn(spark, sf_dir), new_path(spark, "analysis"), instant(), trained=trained)
     counts = [
         done.report(spark, name).agg(F.lit(name).alias("report"), F.count("*").alias("rows")) for name in done.reports
     ]
@@ -164,7 +192,7 @@ def stream_scoring(spark, sf_dir):
         request_stream(spark, _request_files(spark, sf_dir)), bundle(spark, sf_dir), out, new_path(spark, "progress")
     )
     query.awaitTermination()
-    return spark.read.parquet(out)
+    return spark.read.parquet(out).drop("batch_id")
 
 
 @register("stream_alerts")

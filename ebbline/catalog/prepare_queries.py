@@ -8,10 +8,13 @@ from ebbline.catalog.oracle_base import over_base
 from ebbline.catalog.registry import churn, r6_sql, register, rounded, staged_churn, table
 from ebbline.fixed_values import BINARY_COLUMNS, KEY, ONE_HOT_COLUMNS, SERVICE_COLUMNS, TARGET
 from ebbline.functions import expressions as e
+from ebbline.functions.expressions import named
 from ebbline.operators import encode, scale, select, split
+from ebbline.operators.profile import columns_of
 from ebbline.plans import features as prep
 from ebbline.plans import training
 from ebbline.schemas import ATTRIBUTE_NAMES, CHURN_TABLE
+from ebbline.workspace import stage
 
 # --- pieces of oracle SQL ---
 
@@ -109,13 +112,17 @@ def serve_fill_zero(spark, sf_dir):
     return prep.charges_or_zero(churn(spark, sf_dir)).select(KEY, "TotalCharges")
 
 
-@register("median_fill", over_base(f"""
-SELECT "customerID", CAST(tenure AS DOUBLE) AS tenure,
-  {r6_sql('coalesce("TotalCharges", (SELECT median("TotalCharges") FROM numbers))')} AS "TotalCharges" FROM numbers""",
-    f'numbers AS (SELECT * REPLACE ({_NUMBER} AS "TotalCharges") FROM base)'))
+# All numeric columns of the churn table, and its charges as a number.
+_NUMERIC = ["SeniorCitizen", "tenure", "MonthlyCharges", "TotalCharges"]
+
+
+@register("median_fill", over_base('SELECT "customerID", ' + ", ".join(
+    r6_sql(f'coalesce(CAST("{c}" AS DOUBLE), (SELECT median("{c}") FROM numbers))') + f' AS "{c}"' for c in _NUMERIC
+) + " FROM numbers", f'numbers AS (SELECT * REPLACE ({_NUMBER} AS "TotalCharges") FROM base)'))
 def median_fill(spark, sf_dir):
-    base = staged_churn(spark, sf_dir).select(KEY, "tenure", e.to_number(F.col("TotalCharges")).alias("TotalCharges"))
-    return rounded(scale.median_fill(base, ["tenure", "TotalCharges"]), ["TotalCharges"])
+    base = staged_churn(spark, sf_dir).withColumn("TotalCharges", e.to_number(F.col("TotalCharges")))
+    columns = columns_of(base, numeric=True)
+    return rounded(scale.median_fill(base.select(KEY, *columns), columns), columns)
 
 
 @register("knn_impute", over_base(f"""
@@ -274,22 +281,19 @@ def class_weights(spark, sf_dir):
     return split.class_weights(churn(spark, sf_dir), TARGET)
 
 
-_SCALED = ["SeniorCitizen", "tenure", "MonthlyCharges", "total_services"]
-
-
+# Every feature of the prepared table is scaled.
 @register("robust_scale", over_base('SELECT r."customerID", ' + ", ".join(
-    f"""{r6_sql(f'''(CAST(r."{c}" AS DOUBLE) - (SELECT median("{c}") FROM train))
+    f"""{r6_sql(f'''(r."{c}" - (SELECT median("{c}") FROM train))
       / (SELECT CASE WHEN quantile_cont("{c}", 0.75) = quantile_cont("{c}", 0.25) THEN 1.0
                 ELSE quantile_cont("{c}", 0.75) - quantile_cont("{c}", 0.25) END FROM train)''')} AS "{c}" """
-    for c in _SCALED) + " FROM wide AS r", _RANKED, f"""wide AS (
-  SELECT "customerID", CAST("SeniorCitizen" AS DOUBLE) AS "SeniorCitizen", CAST(tenure AS DOUBLE) AS tenure,
-         "MonthlyCharges", CAST({_SERVICES} AS DOUBLE) AS total_services FROM base)""", """train AS (
-  SELECT wide.* FROM wide JOIN ranked ON ranked."customerID" = wide."customerID" WHERE rn * 100 < n * 80)"""))
+    for c in _FEATURES) + " FROM features AS r", *_TO_FEATURES, _RANKED, """train AS (
+  SELECT features.* FROM features JOIN ranked ON ranked."customerID" = features."customerID" WHERE rn * 100 < n * 80)"""))
 def robust_scale(spark, sf_dir):
-    rows = staged_churn(spark, sf_dir).withColumn("total_services", e.total_services())
-    halves = split.train_test(rows.select(KEY, TARGET, *_SCALED), KEY, TARGET)
-    fitted = scale.RobustScale.fit(halves.where("split = 'train'"), _SCALED)
-    return rounded(fitted.transform(halves).select(KEY, *_SCALED), _SCALED)
+    rows = stage(feature_rows(spark, sf_dir), "features")
+    columns = prep.numeric_features(rows)
+    halves = stage(split.train_test(rows, KEY, TARGET), "split")
+    fitted = scale.RobustScale.fit(halves.where("split = 'train'"), columns)
+    return rounded(fitted.transform(halves).select(KEY, *[named(c) for c in columns]), columns)
 
 
 # --- selection ---

@@ -32,15 +32,17 @@ def fit_levels(df: DataFrame, columns: list[str]) -> dict[str, list[str]]:
 def label_encode(df: DataFrame, columns: list[str]) -> DataFrame:
     """Replace each text column by its code among the sorted levels, whatever their number.
 
-    Every column is joined on its part of the code table; where that is small Spark broadcasts it, so a
-    frequent level stays where it is read. NULL has no code and takes no part in the joins.
+    Every column is joined on (column, level) of the one code table, so the joins share one scan and one exchange of
+    it; where it is small Spark broadcasts it, so a frequent level stays where it is read. NULL has no code.
     """
-    codes = stage(level_codes(df, columns), "level-codes")
+    found = level_codes(df, columns).select(F.struct("column", "level").alias("_level"), F.col("code").alias("_code"))
+    codes = stage(found, "level-codes")
     encoded = df
     for i, column in enumerate(columns):
-        own = codes.where(F.col("column") == column).select(F.col("level").alias("_level"), F.col("code").alias(f"_code{i}"))
-        encoded = encoded.join(own, named(column) == F.col("_level"), "left").drop("_level")
-    return encoded.select(*[F.col(f"_code{columns.index(c)}").alias(c) if c in columns else named(c) for c in df.columns])
+        held = F.struct(F.lit(column).alias("column"), named(column).cast("string").alias("level"))
+        encoded = encoded.join(codes.alias(f"_c{i}"), held == F.col(f"_c{i}._level"), "left")
+    place = {c: F.col(f"_c{i}._code").alias(c) for i, c in enumerate(columns)}
+    return encoded.select(*[place.get(c, named(c)) for c in df.columns])
 
 
 def one_hot_entries(df: DataFrame, key: str, columns: list[str]) -> DataFrame:

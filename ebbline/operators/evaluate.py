@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from ebbline.functions.expressions import auc_tier, deployable, precision_tier, recall_tier
 from ebbline.operators.ordered import running_totals
 
+VOTE = "Voting Ensemble"
+
 
 def ratio(top: Column, bottom: Column) -> Column:
     """Quotient, 0 where the denominator is 0."""
@@ -158,7 +160,7 @@ def model_tiers(metrics: DataFrame) -> DataFrame:
     )
 
 
-def soft_vote(scored: DataFrame, models: list[str], key: str, name: str = "Voting Ensemble") -> DataFrame:
+def soft_vote(scored: DataFrame, models: list[str], key: str, name: str = VOTE) -> DataFrame:
     """Mean probability of the given models per row; positive above one half."""
     mean = F.sum("probability") / F.count("probability")
     return (

@@ -15,7 +15,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ebbline.workspace import stage
@@ -157,6 +157,28 @@ class KnnIndex:
         donors = assigned.withColumn("_block", F.pmod(F.xxhash64("neighbour"), blocks).cast("int")).drop("_away")
         return cls(donors, cells, list(payload))
 
+    def save(self, path: str) -> None:
+        spark, cells = self.donors.sparkSession, self.cells
+        self.donors.write.mode("overwrite").parquet(f"{path}/donors")
+        rows = [
+            (i, [float(x) for x in cells.pivots[i]], int(cells.rows[i]), float(cells.radius[i]), [float(x) for x in cells.inner[i]])
+            for i in range(len(cells.pivots))
+        ]
+        kinds = "number int, pivot array<double>, rows long, radius double, inner array<double>"
+        spark.createDataFrame(rows, kinds).write.mode("overwrite").parquet(f"{path}/cells")
+        named = spark.createDataFrame([(cells.metric, self.payload)], "metric string, payload array<string>")
+        named.write.mode("overwrite").parquet(f"{path}/settings")
+
+    @classmethod
+    def load(cls, spark: SparkSession, path: str) -> KnnIndex:
+        found = spark.read.parquet(f"{path}/cells").orderBy("number").collect()  # one row per pivot, MAX_PIVOTS at most
+        settings = spark.read.parquet(f"{path}/settings").head()
+        cells = Cells(
+            np.array([r["pivot"] for r in found], dtype=float), np.array([r["rows"] for r in found]),
+            np.array([r["radius"] for r in found]), [list(r["inner"]) for r in found], settings["metric"],
+        )
+        return cls(spark.read.parquet(f"{path}/donors"), cells, list(settings["payload"]))
+
     def neighbours(self, queries: DataFrame, key: str, vector: str, k: int, other_than_self: bool = False) -> DataFrame:
         """(key, rank, neighbour, distance, payload): the `k` nearest donors per query; ties by donor key.
 

@@ -78,25 +78,29 @@ def executive_summary(churn: DataFrame, results: training.Comparison, features:
 
 
 def run_analysis(
-    churn: DataFrame, root: str, at: Column | None = None, models: list[str] | None = None, grid: str = "short"
+    churn: DataFrame, root: str, at: Column | None = None, models: list[str] | None = None, grid: str = "short",
+    trained: tuple[training.TrainingSet, training.Comparison] | None = None,
 ) -> Analysis:
     """Validate, profile, prepare, select, train, evaluate, register and save, all under `root`.
 
-    The saved bundle holds the best model that has a saved form.
+    The saved bundle holds the best model. `trained`, a training set and its comparison, is used instead of training.
     """
     at = F.current_timestamp() if at is None else at
     spark = churn.sparkSession
     profile.require_valid(churn)
     churn = stage(churn, "churn")
-    data = training.prepare_training(churn)
-    results = training.train_models(data, models, grid)
+    if trained:
+        data, results = trained
+    else:
+        data = training.prepare_training(churn)
+        results = training.train_models(data, models, grid)
     reports = profile_reports(churn) | evaluation_reports(results)
     reports["summary"] = executive_summary(churn, results, len(data.features))
     for name, report in reports.items():
         report.write.mode("overwrite").parquet(f"{root}/{name}")
     registry.register(results.metrics, at, f"{root}/model_performance")
-    saved = results.best_saved()
-    bundle = registry.ModelBundle(saved, results.models[saved], data.features, data.pipeline, data.scale)
+    best = results.best
+    bundle = registry.ModelBundle(best, results.models[best], data.features, data.pipeline, data.scale)
     bundle.save(spark, f"{root}/bundle")
     return Analysis(root, [*reports, "model_performance"], bundle)
 

@@ -3,16 +3,16 @@
 from __future__ import annotations
 
 import itertools
-import random
+from collections.abc import Callable
 from dataclasses import dataclass, field
+from functools import reduce
 from typing import Any
 
 from pyspark.ml import Estimator, Model
 from pyspark.ml.classification import (
     DecisionTreeClassifier, GBTClassifier, LogisticRegression, RandomForestClassifier,
 )
-from pyspark.ml.feature import Bucketizer
-from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -20,9 +20,14 @@ from ebbline.fixed_values import (
     BOOST_GRID, EXTRA_TREES_GRID, FOREST_GRID, LOGISTIC_C, LOGISTIC_L1_RATIO, NEIGHBOUR_GRID,
     SAMPLED_BOOST_GRID, SEED, TREE_GRID,
 )
+from ebbline.operators.evaluate import soft_vote
 from ebbline.operators.knn import KnnIndex, vote
+from ebbline.plans.extra_trees import ExtraTreesGrower
+from ebbline.plans.trees import Cut, Trees, cut_probabilities
+from ebbline.workspace import stage
 
 SCORED = ["model", "key", "label", "probability", "prediction"]
+CANDIDATES = ["model", "key", "label", "probability"]
 TOLERANCE = 1e-4  # of the logistic solver; each further iteration is a pass over all rows
 TREE_MEMORY_MB = 1024  # for split statistics: more nodes per pass, so fewer passes
 _UNLIMITED_DEPTH = 30  # Spark's deepest tree
@@ -36,6 +41,10 @@ def scored(model: Any, rows: DataFrame, name: str) -> DataFrame:
             vector_to_array("probability")[1].alias("probability"),
             F.col("prediction").cast("int").alias("prediction"),
         )
+    elif isinstance(model, Trees):
+        out = rows.select("key", "label", model.column().alias("probability")).withColumn(
+            "prediction", (F.col("probability") > 0.5).cast("int")
+        )
     else:
         out = model.scores(rows)
     return out.select(F.lit(name).alias("model"), "key", F.col("label").cast("int").alias("label"), "probability", "prediction")
@@ -45,19 +54,6 @@ def _product(grid: dict[str, list]) -> list[dict]:
     return [dict(zip(grid, values)) for values in itertools.product(*grid.values())]
 
 
-@dataclass(frozen=True)
-class ModelSpec:
-    """A classifier: how to build it from one grid point, its full grid and the short default grid (some of its points)."""
-
-    name: str
-    build: Any
-    full: list[dict]
-    short: list[dict] = field(default_factory=list)
-
-    def grid(self, size: str) -> list[dict]:
-        return self.full if size == "full" else self.short
-
-
 def logistic(point: dict, rows: int) -> Estimator:
     """C is the inverse penalty on the summed loss; Spark penalises the mean loss."""
     return LogisticRegression(
@@ -92,6 +88,12 @@ def boosted(point: dict, rows: int) -> Estimator:
     )
 
 
+def positive_share(near: DataFrame, weights: str) -> DataFrame:
+    """(key, probability): the share of the neighbours' votes for class 1."""
+    positive = F.coalesce(F.sum(F.when(F.col("class") == 1, F.col("share"))), F.lit(0.0))
+    return vote(near, "key", "label", weights).groupBy("key").agg(positive.alias("probability"))
+
+
 @dataclass(frozen=True)
 class NearestNeighbours:
     """k-nearest-neighbour classifier; `fit` indexes the training rows."""
@@ -112,70 +114,149 @@ class NearestNeighboursModel:
     def scores(self, rows: DataFrame) -> DataFrame:
         listed = rows.select("key", vector_to_array("features").alias("at"))
         near = self.index.neighbours(listed, "key", "at", self.point["n_neighbors"])
-        positive = F.coalesce(F.sum(F.when(F.col("class") == 1, F.col("share"))), F.lit(0.0))
-        shares = vote(near, "key", "label", self.point["weights"]).groupBy("key").agg(positive.alias("probability"))
+        shares = positive_share(near, self.point["weights"])
         return rows.select("key", "label").join(shares, "key").withColumn(
             "prediction", (F.col("probability") > 0.5).cast("int")
         )
 
 
 @dataclass(frozen=True)
-class ExtraTrees:
-    """Extremely randomised trees: forests without resampling over features cut at random points.
+class SoftVoteModel:
+    """The mean probability of its members."""
+
+    members: dict[str, Any]
+
+    def scores(self, rows: DataFrame) -> DataFrame:
+        every = reduce(DataFrame.unionByName, [scored(m, rows, name) for name, m in self.members.items()])
+        return soft_vote(every, list(self.members), "key").drop("model")
+
+
+# --- How the points of a grid are fitted: those that one growth or one look-up answers are fitted together ---
+
+
+class Alone:
+    """Every point is a fit of its own."""
+
+    def __init__(self, build: Callable[[dict, int], Any]):
+        self.build = build
+
+    def groups(self, points: list[dict]) -> list[list[dict]]:
+        return [[point] for point in points]
+
+    def candidates(self, points: list[dict], train: DataFrame, rows: int, held_out: DataFrame) -> DataFrame:
+        """(model, key, label, probability) of `held_out` for every point, named by `str(point)`."""
+        parts = [scored(self.fit(p, train, rows), held_out, str(p)) for p in points]
+        return reduce(DataFrame.unionByName, parts).select(*CANDIDATES)
+
+    def fit(self, point: dict, train: DataFrame, rows: int) -> Any:
+        return self.build(point, rows).fit(train)
+
+
+def _grouped(points: list[dict], free: tuple[str, ...]) -> list[list[dict]]:
+    """Points that agree in all but the `free` parameters."""
+    groups: dict[str, list[dict]] = {}
+    for point in points:
+        groups.setdefault(str({k: v for k, v in point.items() if k not in free}), []).append(point)
+    return list(groups.values())
+
 
-    An approximation: each of `cut_sets` groups of trees shares one draw of random cut points, and
-    splits are then chosen among these cuts.
+class SharedNeighbours(Alone):
+    """One look-up of the most neighbours asked for answers all points of a metric."""
+
+    def __init__(self):
+        super().__init__(lambda point, rows: NearestNeighbours(point))
+
+    def groups(self, points):
+        return _grouped(points, ("n_neighbors", "weights"))
+
+    def candidates(self, points, train, rows, held_out):
+        most = max(p["n_neighbors"] for p in points)
+        index = self.fit(points[0] | {"n_neighbors": most}, train, rows).index
+        listed = held_out.select("key", vector_to_array("features").alias("at"))
+        near = stage(index.neighbours(listed, "key", "at", most).select("key", "rank", "distance", "label"), "candidate-neighbours")
+        labels = held_out.select("key", F.col("label").cast("int").alias("label"))
+        parts = []
+        for point in points:
+            shares = positive_share(near.where(F.col("rank") <= point["n_neighbors"]), point["weights"])
+            parts.append(labels.join(shares, "key").withColumn("model", F.lit(str(point))).select(*CANDIDATES))
+        return reduce(DataFrame.unionByName, parts)
+
+
+class SharedTrees(Alone):
+    """One growth with the most trees and the greatest depth asked for; each point is a cut of it.
+
+    Depth and the least number of rows of a split only say where growth ends, so cutting gives what growing with the
+    limits would have given; fewer trees are the first ones. A forest grown alone draws other samples and features
+    than the first trees of a larger one, so there the two agree in distribution.
     """
 
-    point: dict
-    cut_sets: int = 5
-    cuts: int = 8
-
-    def fit(self, rows: DataFrame) -> ExtraTreesModel:
-        spread = rows.select(F.posexplode(vector_to_array("features")).alias("at", "x"))
-        ends = {r["at"]: (r["low"], r["high"]) for r in
-                spread.groupBy("at").agg(F.min("x").alias("low"), F.max("x").alias("high")).collect()}
-        draw = random.Random(SEED)
-        per_set = max(1, self.point["n_estimators"] // self.cut_sets)
-        settings = _tree_settings(self.point)
-        members = []
-        for i in range(self.cut_sets):
-            splits = [self._splits(*ends[f], draw) for f in sorted(ends)]
-            estimator = RandomForestClassifier(
-                numTrees=per_set, bootstrap=False, featureSubsetStrategy="sqrt", maxBins=64,
-                featuresCol="cut_features", **(settings | {"seed": SEED + i}),
-            )
-            members.append((splits, estimator.fit(cut_features(rows, splits))))
-        return ExtraTreesModel(members)
-
-    def _splits(self, low: float, high: float, draw: random.Random) -> list[float]:
-        inner = {draw.uniform(low, high) for _ in range(self.cuts)}
-        return [float("-inf"), *sorted(inner), float("inf")]
-
-
-def cut_features(rows: DataFrame, splits: list[list[float]]) -> DataFrame:
-    """Each feature replaced by the number of its cut points below it."""
-    values = vector_to_array("features")
-    names = [f"_f{i}" for i in range(len(splits))]
-    wide = rows.withColumns({n: F.get(values, F.lit(i)) for i, n in enumerate(names)})
-    outputs = [f"_c{i}" for i in range(len(splits))]
-    cut = Bucketizer(splitsArray=splits, inputCols=names, outputCols=outputs).transform(wide)
-    return cut.withColumn("cut_features", array_to_vector(F.array(*outputs))).drop(*names, *outputs)
+    def __init__(self, build, cut: tuple[str, ...] = ("n_estimators", "max_depth", "min_samples_split")):
+        super().__init__(build)
+        self.cut = cut
+
+    def groups(self, points):
+        return _grouped(points, self.cut)
+
+    def candidates(self, points, train, rows, held_out):
+        depths = [p["max_depth"] for p in points]
+        widest = points[0] | {"max_depth": None if None in depths else max(depths), "min_samples_split": 2}
+        if "n_estimators" in self.cut and "n_estimators" in widest:
+            widest["n_estimators"] = max(p["n_estimators"] for p in points)
+        grown, kind = self.grow(widest, train, rows)
+        cuts = [Cut(str(p), p.get("n_estimators", 1), p["max_depth"], p["min_samples_split"]) for p in points]
+        return cut_probabilities(held_out, grown, cuts, kind)
+
+    def grow(self, point: dict, train: DataFrame, rows: int) -> tuple[Trees, str]:
+        return Trees.of_model(train.sparkSession, self.build(point, rows).fit(train)), "merged"
+
+    def fit(self, point, train, rows):
+        """Spark's own model where its parameters say all; else its trees, cut."""
+        model = self.build(point, rows).fit(train)
+        if point["min_samples_split"] <= 2 * point.get("min_samples_leaf", 1):
+            return model  # no node that is smaller can be split anyway
+        return Trees.of_model(train.sparkSession, model).cut(least_rows=point["min_samples_split"])
+
+
+class SharedExtraTrees(SharedTrees):
+    def __init__(self):
+        super().__init__(None)
+
+    def grow(self, point, train, rows):
+        settings = ExtraTreesGrower(
+            point["n_estimators"], point["max_depth"], point["min_samples_split"], point["class_weight"] == "balanced", SEED
+        )
+        return settings.fit(train), "plain"
+
+    def fit(self, point, train, rows):
+        return self.grow(point, train, rows)[0]
+
+
+class SharedBoosting(Alone):
+    """Boosting with more rounds begins with the rounds of the shorter one, whatever comes later."""
+
+    def groups(self, points):
+        return _grouped(points, ("n_estimators",))
+
+    def candidates(self, points, train, rows, held_out):
+        rounds = [p["n_estimators"] for p in points]
+        if len(points) == 1:
+            return super().candidates(points, train, rows, held_out)
+        longest = self.fit(points[0] | {"n_estimators": max(rounds)}, train, rows)
+        margins = Trees.of_model(train.sparkSession, longest)
+        return cut_probabilities(held_out, margins, [Cut(str(p), p["n_estimators"]) for p in points], "boosted")
 
 
 @dataclass(frozen=True)
-class ExtraTreesModel:
-    members: list
+class ModelSpec:
+    """A classifier: how its grid points are fitted, its full grid and the short default grid (some of its points)."""
 
-    def scores(self, rows: DataFrame) -> DataFrame:
-        """Mean probability over the groups of trees, in one pass over the rows."""
-        out, total = rows.select("key", "label", "features"), F.lit(0.0)
-        for i, (splits, model) in enumerate(self.members):
-            model = model.copy().setProbabilityCol(f"_p{i}").setRawPredictionCol("").setPredictionCol("")
-            out = model.transform(cut_features(out, splits)).drop("cut_features")
-            total = total + vector_to_array(f"_p{i}")[1]
-        mean = (total / len(self.members)).alias("probability")
-        return out.select("key", "label", mean).withColumn("prediction", (F.col("probability") > 0.5).cast("int"))
+    name: str
+    family: Alone
+    full: list[dict]
+    short: list[dict] = field(default_factory=list)
+
+    def grid(self, size: str) -> list[dict]:
+        return self.full if size == "full" else self.short
 
 
 LOGISTIC_GRID = (
@@ -185,34 +266,34 @@ LOGISTIC_GRID = (
 )
 
 SPECS = [
-    ModelSpec("Logistic Regression", logistic, LOGISTIC_GRID, [{"C": 0.1, "penalty": "l1"}, {"C": 1, "penalty": "l2"}]),
+    ModelSpec("Logistic Regression", Alone(logistic), LOGISTIC_GRID, [{"C": 0.1, "penalty": "l1"}, {"C": 1, "penalty": "l2"}]),
     ModelSpec(
-        "K-Nearest Neighbors", lambda point, rows: NearestNeighbours(point), _product(NEIGHBOUR_GRID),
+        "K-Nearest Neighbors", SharedNeighbours(), _product(NEIGHBOUR_GRID),
         [{"n_neighbors": 10, "weights": "uniform", "metric": "euclidean"}],
     ),
     ModelSpec(
-        "Decision Tree", tree, _product(TREE_GRID),
+        "Decision Tree", SharedTrees(tree), _product(TREE_GRID),
         [{"max_depth": 5, "min_samples_split": 2, "min_samples_leaf": 4, "class_weight": None}],
     ),
     ModelSpec(
-        "Random Forest", forest, _product(FOREST_GRID),
+        "Random Forest", SharedTrees(forest), _product(FOREST_GRID),
         [{"n_estimators": 100, "max_depth": 5, "min_samples_split": 2, "min_samples_leaf": 4, "class_weight": "balanced"}],
     ),
     ModelSpec(
-        "XGBoost", boosted, _product(SAMPLED_BOOST_GRID),
+        "XGBoost", SharedBoosting(boosted), _product(SAMPLED_BOOST_GRID),
         [{"n_estimators": 100, "learning_rate": 0.1, "max_depth": 3, "subsample": 0.8, "colsample_bytree": 0.8}],
     ),
     ModelSpec(
-        "Gradient Boosting", boosted, _product(BOOST_GRID),
+        "Gradient Boosting", SharedBoosting(boosted), _product(BOOST_GRID),
         [{"n_estimators": 100, "learning_rate": 0.1, "max_depth": 3, "subsample": 1.0}],
     ),
     ModelSpec(
-        "Extra Trees", lambda point, rows: ExtraTrees(point), _product(EXTRA_TREES_GRID),
+        "Extra Trees", SharedExtraTrees(), _product(EXTRA_TREES_GRID),
         [{"n_estimators": 100, "max_depth": 5, "min_samples_split": 2, "class_weight": None}],
     ),
     # Joins only when the sampled boosting above could be trained; library defaults, no grid search.
     ModelSpec(
-        "LightGBM", boosted,
+        "LightGBM", SharedBoosting(boosted),
         [{"n_estimators": 100, "learning_rate": 0.1, "max_depth": 5, "subsample": 1.0}],
         [{"n_estimators": 100, "learning_rate": 0.1, "max_depth": 5, "subsample": 1.0}],
     ),

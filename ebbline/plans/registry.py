@@ -5,12 +5,12 @@ from __future__ import annotations
 from dataclasses import dataclass
 from typing import Any
 
-from pyspark.ml import Model, PipelineModel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ebbline.operators.scale import RobustScale
 from ebbline.plans.features import FeaturePipeline
+from ebbline.plans.saved import load_model, save_model
 from ebbline.schemas import MODEL_PERFORMANCE
 
 
@@ -25,9 +25,7 @@ class ModelBundle:
     scale: RobustScale
 
     def save(self, spark: SparkSession, path: str) -> None:
-        if not isinstance(self.model, Model):
-            raise TypeError(f"{self.name} has no saved form; choose a pyspark.ml model")
-        PipelineModel([self.model]).write().overwrite().save(f"{path}/model")
+        save_model(spark, self.model, f"{path}/model")
         rows = [(i, f, self.scale.centre[f], self.scale.spread[f]) for i, f in enumerate(self.features)]
         spark.createDataFrame(rows, "place int, feature string, centre double, spread double").write.mode(
             "overwrite"
@@ -43,7 +41,7 @@ class ModelBundle:
         scale = RobustScale({r["feature"]: r["centre"] for r in rows}, {r["feature"]: r["spread"] for r in rows})
         return cls(
             spark.read.parquet(f"{path}/info").head()["name"],
-            PipelineModel.load(f"{path}/model").stages[0],
+            load_model(spark, f"{path}/model"),
             [r["feature"] for r in rows],
             FeaturePipeline.load(spark, f"{path}/preparation"),
             scale,

@@ -7,25 +7,26 @@ from functools import reduce
 from multiprocessing.pool import ThreadPool
 from typing import Any
 
-from pyspark.ml import Model
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
-from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ebbline.fixed_values import CV_FOLDS, KEY, SEED, TARGET
 from ebbline.functions.expressions import named
-from ebbline.operators.evaluate import best_model, classification_metrics, ranking_metrics, soft_vote
+from ebbline.operators.evaluate import VOTE, best_model, classification_metrics, ranking_metrics, soft_vote
 from ebbline.operators.scale import RobustScale
 from ebbline.operators.select import (
     anova_f, counts_by_label, feature_votes, mutual_information, top_features,
 )
 from ebbline.operators.split import stratified_folds, train_test, with_class_weight
 from ebbline.plans.features import FeaturePipeline
-from ebbline.plans.models import BY_NAME, SPECS, TOLERANCE, TREE_MEMORY_MB, ModelSpec, scored
+from ebbline.plans.models import (
+    BY_NAME, SPECS, TOLERANCE, TREE_MEMORY_MB, ModelSpec, SoftVoteModel, scored,
+)
 from ebbline.workspace import stage
 
+TASK_ROWS = 50_000  # prepared rows of a partition, at least
 CV_SCHEMA = "model string, grid_point string, folds int, mean_roc_auc double, error string"
 
 
@@ -57,12 +58,14 @@ def l1_coefficients(df: DataFrame, features: list[str], label: str, c: float = 1
 def vote_features(df: DataFrame, features: list[str], label: str) -> DataFrame:
     """Votes of the four selection methods; `df` should be a staged table."""
     counts = stage(counts_by_label(df, features, label), "label-counts")
-    kept = l1_coefficients(df, features, label).where("selected")
+    fits = (tree_importance, l1_coefficients)
+    with ThreadPool(len(fits)) as pool:  # both are many small jobs
+        importance, coefficients = pool.map(lambda fit: fit(df, features, label), fits, chunksize=1)
     return feature_votes({
         "univariate": top_features(anova_f(counts)),
         "mutual_info": top_features(mutual_information(counts)),
-        "tree_based": top_features(tree_importance(df, features, label)),
-        "l1_regularization": kept,
+        "tree_based": top_features(importance),
+        "l1_regularization": coefficients.where("selected"),
     })
 
 
@@ -90,7 +93,9 @@ def prepare_training(churn: DataFrame, select: bool = True) -> TrainingSet:
     `churn` is read several times and should be a staged table.
     """
     pipeline = FeaturePipeline.fit(churn)
-    table = stage(pipeline.transform(churn).where(F.col(TARGET).isNotNull()), "features")
+    # The fits pass over these tables hundreds of times, and each pass starts a task a partition.
+    parts = max(1, churn.count() // TASK_ROWS)
+    table = stage(pipeline.transform(churn).where(F.col(TARGET).isNotNull()).repartition(parts), "features")
     features = pipeline.features
     if select:
         chosen = vote_features(table, features, TARGET).where("selected")
@@ -105,49 +110,67 @@ def prepare_training(churn: DataFrame, select: bool = True) -> TrainingSet:
     weighted = with_class_weight(ready.where("split = 'train'"), "label")
     train = stratified_folds(weighted, "key", "label")
     test = ready.where("split = 'test'").withColumns({"class_weight": F.lit(1.0), "fold": F.lit(None).cast("int")})
-    return TrainingSet(stage(train.unionByName(test), "training-set"), features, pipeline, scale)
-
+    return TrainingSet(stage(train.unionByName(test).repartition(parts), "training-set"), features, pipeline, scale)
 
-def _roc_auc(model: Any, rows: DataFrame) -> float:
-    if hasattr(model, "transform"):
-        evaluator = BinaryClassificationEvaluator(metricName="areaUnderROC", numBins=0)
-        return evaluator.evaluate(model.transform(rows))
-    return ranking_metrics(scored(model, rows, "candidate")).head()["roc_auc"]
 
+def cross_validate_all(
+    specs: list[ModelSpec], train: DataFrame, grid: str = "short", folds: int = CV_FOLDS, parallelism: int = 8
+) -> dict[str, tuple[list[tuple], dict | None]]:
+    """Per model, mean ROC-AUC over the folds per grid point, and the best point.
 
-def cross_validate(
-    spec: ModelSpec, train: DataFrame, grid: str = "short", folds: int = CV_FOLDS, parallelism: int = 4
-) -> tuple[list[tuple], dict | None]:
-    """Mean ROC-AUC over the folds per grid point, and the best point. A failing point is a row with its error."""
-    points = spec.grid(grid)
+    Points that one growth or look-up answers are fitted once a fold (`ModelSpec.family`); the fits of all models
+    share one pool. What the held-out rows score is written fit by fold, and one pass per model ranks it. A failing
+    point is a row with its error.
+    """
+    spark = train.sparkSession
     sizes = {r["fold"]: r["count"] for r in train.groupBy("fold").count().collect()}
     total = sum(sizes.values())
 
-    def one(task: tuple[dict, int]) -> float | str:
-        point, fold = task
+    def one(task: tuple[ModelSpec, list[dict], int]) -> DataFrame | str:
+        spec, points, fold = task
         try:
-            model = spec.build(point, total - sizes[fold]).fit(train.where(F.col("fold") != fold))
-            score = _roc_auc(model, train.where(F.col("fold") == fold))
-            return f"no ROC-AUC: fold {fold} holds one class" if score is None else score
+            fitted, held_out = train.where(F.col("fold") != fold), train.where(F.col("fold") == fold)
+            found = spec.family.candidates(points, fitted, total - sizes.get(fold, 0), held_out)
+            return stage(found.withColumn("model", F.concat(F.lit(f"{fold}:"), "model")), "candidates")
         except Exception as problem:  # recorded in the result
             return f"{type(problem).__name__}: {problem}"[:500]
 
-    tasks = [(point, fold) for point in points for fold in range(folds)]
+    tasks = [(spec, points, fold) for spec in specs for points in spec.family.groups(spec.grid(grid)) for fold in range(folds)]
     with ThreadPool(parallelism) as pool:
-        outcomes = pool.map(one, tasks)
-    rows, best, best_score = [], None, 0.0
-    for i, point in enumerate(points):
-        scores = outcomes[i * folds : (i + 1) * folds]
-        errors = [s for s in scores if isinstance(s, str)]
-        mean = None if errors else sum(scores) / folds
-        rows.append((spec.name, str(point), folds, mean, errors[0] if errors else None))
-        if mean is not None and mean > best_score:
-            best, best_score = point, mean
-    return rows, best
+        outcomes = pool.map(one, tasks, chunksize=1)
+    found: dict[str, tuple[list[tuple], dict | None]] = {}
+    for spec in specs:
+        mine = [(points, fold, outcome) for (owner, points, fold), outcome in zip(tasks, outcomes) if owner is spec]
+        tables = [outcome for _, _, outcome in mine if not isinstance(outcome, str)]
+        areas: dict[str, float | None] = {}
+        if tables:
+            scores = reduce(DataFrame.unionByName, tables).withColumn("prediction", F.lit(0))
+            areas = {r["model"]: r["roc_auc"] for r in ranking_metrics(scores).collect()}  # one per point and fold
+        errors = {str(p): outcome for points, _, outcome in mine if isinstance(outcome, str) for p in points}
+        rows, best, best_score = [], None, 0.0
+        for point in spec.grid(grid):
+            name = str(point)
+            per_fold = [areas.get(f"{fold}:{name}") for fold in range(folds)]
+            problem = errors.get(name)
+            if problem is None and None in per_fold:
+                problem = f"no ROC-AUC: fold {per_fold.index(None)} holds one class"
+            mean = None if problem else sum(per_fold) / folds
+            rows.append((spec.name, name, folds, mean, problem))
+            if mean is not None and mean > best_score:
+                best, best_score = point, mean
+        found[spec.name] = rows, best
+    return found
+
+
+def cross_validate(
+    spec: ModelSpec, train: DataFrame, grid: str = "short", folds: int = CV_FOLDS, parallelism: int = 8
+) -> tuple[list[tuple], dict | None]:
+    """`cross_validate_all` of one model."""
+    return cross_validate_all([spec], train, grid, folds, parallelism)[spec.name]
 
 
 def fit_on_all(spec: ModelSpec, point: dict, train: DataFrame) -> Any:
-    return spec.build(point, train.count()).fit(train)
+    return spec.family.fit(point, train, train.count())
 
 
 @dataclass(frozen=True)
@@ -163,30 +186,28 @@ class Comparison:
     def best(self) -> str:
         return best_model(self.metrics).head()["model"]
 
-    def best_saved(self) -> str:
-        """The best model among those with a saved form, that is without the vote and the custom ones."""
-        names = [n for n, m in self.models.items() if isinstance(m, Model)]
-        return best_model(self.metrics.where(F.col("model").isin(names))).head()["model"]
-
 
 def train_models(data: TrainingSet, names: list[str] | None = None, grid: str = "short") -> Comparison:
     """Grid search, refit and test scores of every model, and the soft vote of the first three."""
-    models, cv_rows = {}, []
-    for spec in [BY_NAME[n] for n in names] if names else SPECS:
-        if spec.name == "LightGBM":
-            if "XGBoost" in models:
-                models[spec.name] = fit_on_all(spec, spec.grid(grid)[0], data.train)
-            continue
-        rows, best = cross_validate(spec, data.train, grid)
-        cv_rows += rows
-        if best is not None:
-            models[spec.name] = fit_on_all(spec, best, data.train)
+    specs = [BY_NAME[n] for n in names] if names else SPECS
+    searched = [spec for spec in specs if spec.name != "LightGBM"]
+    found = cross_validate_all(searched, data.train, grid)
+    cv_rows = [row for spec in searched for row in found[spec.name][0]]
+    chosen = {spec.name: found[spec.name][1] for spec in searched if found[spec.name][1] is not None}
+    if "XGBoost" in chosen:
+        chosen |= {spec.name: spec.grid(grid)[0] for spec in specs if spec.name == "LightGBM"}
+    order = [spec for spec in specs if spec.name in chosen]
+    with ThreadPool(max(1, len(order))) as pool:
+        fitted = pool.map(lambda spec: fit_on_all(spec, chosen[spec.name], data.train), order, chunksize=1)
+    models = {spec.name: model for spec, model in zip(order, fitted)}
     if not models:
         raise ValueError(f"no model could be trained: {[row[-1] for row in cv_rows]}")
     scores = reduce(DataFrame.unionByName, [scored(m, data.test, name) for name, m in models.items()])
     scores = stage(scores, "scores")
     if len(models) >= 3:
-        scores = scores.unionByName(soft_vote(scores, list(models)[:3], "key"))
+        first = list(models)[:3]
+        scores = scores.unionByName(soft_vote(scores, first, "key"))
+        models[VOTE] = SoftVoteModel({name: models[name] for name in first})
     metrics = stage(classification_metrics(scores), "metrics")
     cv = data.rows.sparkSession.createDataFrame(cv_rows, CV_SCHEMA)
     return Comparison(models, cv, scores, metrics)
