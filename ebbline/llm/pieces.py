@@ -26,7 +26,7 @@ _WORDS = re.compile(f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+")
 _IDS_AT_ONCE = 500_000
 _ROWS_AT_ONCE = 500
 _BPE, _NORMAL, _UNKNOWN, _BYTE = 2, 1, 2, 6  # fixed values of the model file
-_MEMO_WORDS = 400_000
+_MEMO_WORDS = 150_000
 _MEMO_PAIRS = 300_000
 _MEMO_ENDS = 100_000
 _SHORT_END = 12  # characters
@@ -202,6 +202,11 @@ class Vocabulary:
             total += walk.best[len(word)][0]
         return ids, total
 
+    def forget(self) -> None:
+        """Drop the remembered words: workers live on, and the next stage needs their memory."""
+        self._words.clear()
+        self._words.older = {}
+
     def word(self, word: str, name: str) -> tuple[int, ...]:
         """Ids of a word that is encoded alone (BPE); `name` is what it is remembered by."""
         found = self._words[name]
@@ -485,6 +490,7 @@ def _encode_short(model):
                     ids = batch.column("doc_id").slice(begin, len(held))
                     yield pa.RecordBatch.from_arrays([ids, _lists(held)], ["doc_id", "ids"])
                     begin, held, size = i + 1, [], 0
+        vocabulary.forget()
 
     return encode
 
