@@ -286,7 +286,7 @@ def minhash_groups(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT)
     Candidates come from a multi-index Hamming join. A signature has 64 symbols, 16 bits of a minimum each; at a
     similarity s a symbol differs with probability 1 - s. Signatures within ERRORS = 23 differing symbols are all found:
     of 12 chunks one has one error at most, and each chunk is a key once for every symbol that may be the error.
-    (At 0.85 more than 23 of 64 differ in fewer than one of 100,000 pairs; at 0.9, of 10^8.) Buckets are not
+    (At 0.85 more than 23 of 64 differ in 9 of a million pairs; at 0.9, in 5 of 10^9.) Buckets are not
     expanded into pairs: nodes whose own shingles rule out any link go first (`_able`), the others meet in units around
     hubs, in blocks of bounded size (`_units`), and a pair of blocks sends the links that connect it, not all. The
     work of a unit of g sets that are alike but not linked to its hub is still g^2 comparisons, spread over tasks.
