@@ -44,7 +44,10 @@ PENALTY = 1.0  # weight of the squared score change under a swap
 LEAST_ROWS = 3  # labelled rows that a feature must occur in
 LEAST_Z = 4.0  # how far from chance a feature's share of toxic rows must be
 _HASH_BITS = 30
-_MEMO_WORDS = 200_000
+_MEMO_WORDS = 50_000
+_MEMO_LISTS = 10_000  # words whose features are all remembered, some 20 numbers each
+_MEMO_LETTERS = 40  # longer words are not remembered
+_ROWS_AT_ONCE = 64
 _SHORT, _LONG = 4, 6
 _WORD = re.compile(r"\w+")
 
@@ -92,7 +95,9 @@ class Classifier:
                 if features is None:
                     if len(memo) >= _MEMO_WORDS:
                         memo.clear()
-                    features = memo[word] = tuple(f for f in word_features(word) if f in weights)
+                    features = tuple(f for f in word_features(word) if f in weights)
+                    if len(word) <= _MEMO_LETTERS:
+                        memo[word] = features
                 found.update(features)
             total = self.bias + sum(weights[f] for f in sorted(found))
             return float(1 / (1 + np.exp(-np.clip(total, -40, 40))))
@@ -101,22 +106,51 @@ class Classifier:
 
 
 def _examples(terms):
+    names = ["doc_id", "label", "plain", "swapped"]
+
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            plain, swapped = [], []
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
-                words = text_words(text)
-                other = swap_terms(words, zlib.crc32(str(doc_id).encode()), terms)
-                plain.append(sorted({f for w in words for f in word_features(w)}))
-                swapped.append(None if other is None else sorted({f for w in other for f in word_features(w)}))
-            lists = [pa.array(x, pa.list_(pa.int32())) for x in (plain, swapped)]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("label"), *lists], ["doc_id", "label", "plain", "swapped"]
-            )
+        memo: dict[str, np.ndarray] = {}
+
+        def of_word(word: str) -> np.ndarray:
+            found = memo.get(word)
+            if found is None:
+                found = np.array(word_features(word), dtype=np.int32)
+                if len(word) <= _MEMO_LETTERS:
+                    if len(memo) >= _MEMO_LISTS:
+                        memo.clear()
+                    memo[word] = found
+            return found
+
+        def of_words(words: set[str]) -> np.ndarray:
+            return np.unique(np.concatenate([of_word(w) for w in words])) if words else np.empty(0, np.int32)
+
+        for whole in batches:
+            for begin in range(0, whole.num_rows, _ROWS_AT_ONCE):
+                batch = whole.slice(begin, _ROWS_AT_ONCE)
+                plain, swapped = [], []
+                for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
+                    words = text_words(text)
+                    other = swap_terms(words, zlib.crc32(str(doc_id).encode()), terms)
+                    plain.append(of_words(words))
+                    swapped.append(None if other is None else of_words(other))
+                lists = [pa.array(x, pa.list_(pa.int32())) for x in (plain, swapped)]
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("label"), *lists], names)
 
     return make
 
 
+def _only(lists: pa.Array, wanted: np.ndarray) -> pa.Array:
+    """The lists without the numbers that are not in `wanted`, in their order; null stays null."""
+    sizes = lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+    values = lists.flatten().to_numpy(zero_copy_only=False)
+    keep = np.isin(values, wanted)
+    before = np.concatenate(([0], np.cumsum(keep)))
+    offsets = before[np.concatenate(([0], np.cumsum(sizes)))].astype(np.int32)
+    return pa.ListArray.from_arrays(
+        pa.array(offsets), pa.array(values[keep], pa.int32()), mask=lists.is_null() if lists.null_count else None
+    )
+
+
 def _telling_features(examples: DataFrame, most: int) -> list[int]:
     """Features whose share of toxic rows is far from that of all rows; counted over the whole sample in Spark."""
     totals = examples.agg(F.count("*").alias("n"), F.sum("label").alias("toxic")).head()
@@ -180,15 +214,11 @@ def fit_toxicity(
         texts.mapInArrow(_examples(terms), "doc_id long, label int, plain array<int>, swapped array<int>"), "toxicity-examples"
     )
     features = _telling_features(examples, FEATURES)
-    wanted = docs.sparkSession.sparkContext.broadcast(frozenset(features))
+    wanted = docs.sparkSession.sparkContext.broadcast(np.array(sorted(features), dtype=np.int32))
 
     def used(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            lists = [
-                pa.array([None if x is None else [f for f in x if f in wanted.value] for x in batch.column(c).to_pylist()],
-                         pa.list_(pa.int32()))
-                for c in ("plain", "swapped")
-            ]
+            lists = [_only(batch.column(c), wanted.value) for c in ("plain", "swapped")]
             yield pa.RecordBatch.from_arrays([*batch.columns[:2], *lists], batch.schema.names)
 
     used = examples.mapInArrow(used, examples.schema)

@@ -1,10 +1,13 @@
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from ebbline.llm.queries import QUERIES
 from ebbline.llm.quality import FEATURES, Buckets, quality_scores, train_network
 from ebbline.llm.tables import held_out_remainder
-from ebbline.llm.toxicity import fit_toxicity, swap_terms, toxicity_scores
+from ebbline.llm.toxicity import (
+    _examples, _only, fit_toxicity, swap_terms, text_words, toxicity_scores, word_features,
+)
 
 
 def area(scores, labels):
@@ -70,6 +73,27 @@ def test_swaps_stay_in_their_line():
     assert all("jews" not in swap_terms({"jews"}, k) for k in range(20))
 
 
+def test_examples_in_small_batches():
+    texts = ["you women", "", "a b a " * 50, "x" * 5000, "women and men"] * 40
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array(range(200), pa.int64()), pa.array([0] * 200, pa.int32()), pa.array(texts)], ["doc_id", "label", "text"]
+    )
+    made = pa.Table.from_batches(_examples((("women", "men"),))(iter([batch]))).to_pylist()
+    assert [r["doc_id"] for r in made] == list(range(200))
+    for row, text in zip(made, texts):
+        assert row["plain"] == sorted({f for w in text_words(text) for f in word_features(w)})
+        assert (row["swapped"] is None) == ("women" not in text)
+
+
+def test_only_wanted_features():
+    lists = pa.array([[1, 2, 3], None, [], [3, 9], None, [4]], pa.list_(pa.int32()))
+    kept = lambda a, w: _only(a, np.array(w, dtype=np.int32)).to_pylist()
+    assert kept(lists, [3, 4]) == [[3], None, [], [3], None, [4]]
+    assert kept(lists, []) == [[], None, [], [], None, []]
+    assert kept(lists.slice(3, 2), [9]) == [[9], None]
+    assert kept(lists.slice(0, 0), [9]) == []
+
+
 def test_edges(spark):
     docs, labels = group_docs(spark)
     odd = spark.createDataFrame(
