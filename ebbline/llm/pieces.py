@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import re
 from array import array
 from collections import Counter
@@ -12,7 +13,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark import Broadcast
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from sentencepiece import sentencepiece_model_pb2
 
@@ -206,6 +207,7 @@ class Vocabulary:
         """Drop the remembered words: workers live on, and the next stage needs their memory."""
         self._words.clear()
         self._words.older = {}
+        pa.default_memory_pool().release_unused()
 
     def word(self, word: str, name: str) -> tuple[int, ...]:
         """Ids of a word that is encoded alone (BPE); `name` is what it is remembered by."""
@@ -286,6 +288,17 @@ def vocabulary_of(model: Broadcast) -> Vocabulary:
     return model.vocabulary
 
 
+_sent: dict[tuple[str, str], Broadcast] = {}  # by application and digest of the model file
+
+
+def shared_model(spark: SparkSession, model: bytes) -> Broadcast:
+    """One broadcast of a model file a session, so that a worker process holds one vocabulary for all its tasks."""
+    key = spark.sparkContext.applicationId, hashlib.sha256(model).hexdigest()
+    if key not in _sent:
+        _sent[key] = spark.sparkContext.broadcast(model)  # texts of any size meet the same one
+    return _sent[key]
+
+
 class Walk:
     """Best paths from one place and piece to all places up to `until` (pieces may end behind it).
 
@@ -574,8 +587,7 @@ def encode(docs: DataFrame, model: bytes, chunk: int = CHUNK) -> DataFrame:
     Null and empty texts have no ids. Null ids and repeated rows are encoded like any other. An empty table
     gives no rows. Other columns are not read. Characters without a piece become their bytes (or the unknown id).
     """
-    spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast(model)  # a model file; texts of any size meet the same one
+    shared = shared_model(docs.sparkSession, model)
     texts = docs.select("doc_id", *row_key(), whole_text().alias("text"))
     cut_at = chunk - 1  # a model may put one space before the text
     short = texts.filter(F.length("text") <= cut_at).select("doc_id", "text")
@@ -611,7 +623,7 @@ def decoded(vocabulary: Vocabulary, ids: list[int], has_bytes: bool = True) -> s
 
 def decode(encoded: DataFrame, model: bytes) -> DataFrame:
     """`encoded` (doc_id, ids) with the column text. Null or empty ids: the empty text."""
-    shared = encoded.sparkSession.sparkContext.broadcast(model)
+    shared = shared_model(encoded.sparkSession, model)
 
     def texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = vocabulary_of(shared)

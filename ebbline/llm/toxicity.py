@@ -135,6 +135,7 @@ def _examples(terms):
                     swapped.append(None if other is None else of_words(other))
                 lists = [pa.array(x, pa.list_(pa.int32())) for x in (plain, swapped)]
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("label"), *lists], names)
+        pa.default_memory_pool().release_unused()  # workers live on, and the next stage needs the memory
 
     return make
 
@@ -250,5 +251,6 @@ def score_column(spark: SparkSession, classifier: Classifier):
         scorer = Classifier(*model.value).scorer()
         for batch in texts:
             yield pd.Series([scorer(t) for t in batch], dtype="float64")
+        pa.default_memory_pool().release_unused()
 
     return score
