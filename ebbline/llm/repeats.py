@@ -68,13 +68,17 @@ def window_of(length: int) -> int:
     return 3 * length // 5 + 1
 
 
+_PHRASE = ("first", "last", "trigger", "common", "whole", "until", "times")
+
+
 def phrases(data: np.ndarray, pieces: list[tuple[int, int]], length: int) -> dict[str, np.ndarray]:
     """The parse of the pieces (begin, end) of `data`: one row per phrase, that is per run of starts with one trigger.
 
     The trigger of a start is the place with the least rolling hash among the window_of(length) places from it, the
     first of equal ones. It depends on the next `length` bytes only, so equal strings have equal triggers, at
     equal distances. `common`: hash of the bytes that all strings through the trigger share; `whole`: hash of the
-    extended phrase, from the first start of the run to the end of the string at its last start.
+    extended phrase, from the first start of the run to the end of the string at its last start. Equal phrases that
+    follow each other, as in text with a period, are one row: `times` of them, the last of which ends at start `until`.
     """
     width = window_of(length)
     shared = length - width + 1
@@ -82,7 +86,7 @@ def phrases(data: np.ndarray, pieces: list[tuple[int, int]], length: int) -> dic
     hashes = Hashes(data, length)
     starts = [np.arange(a, b - length + 1) for a, b in pieces if b - a >= length]
     if not starts:
-        return {c: np.empty(0, np.int64) for c in ("first", "last", "trigger", "common", "whole")}
+        return {c: np.empty(0, np.int64) for c in _PHRASE}
     starts = np.concatenate(starts)
     rolling = hashes.levels[gram.bit_length() - 1]
     low = np.uint64(PLACE_BITS)
@@ -93,14 +97,20 @@ def phrases(data: np.ndarray, pieces: list[tuple[int, int]], length: int) -> dic
     trigger = trigger[begins]
     ends = _mixed(hashes.at(first, length), hashes.at(last, length), 40)
     shape = ((last - first).astype(np.uint64) << low) + (trigger - first).astype(np.uint64)
+    common, whole = hashes.at(trigger, shared), _mixed(ends, shape, 41)
+    piece = np.searchsorted([a for a, _ in pieces], first, "right")
+    again = (whole[1:] == whole[:-1]) & (common[1:] == common[:-1]) & (piece[1:] == piece[:-1])
+    heads = np.concatenate(([0], np.flatnonzero(~again) + 1))
+    nexts = np.append(heads[1:], len(first))
     return {
-        "first": first, "last": last, "trigger": trigger,
-        "common": hashes.at(trigger, shared).view(np.int64), "whole": _mixed(ends, shape, 41).view(np.int64),
+        "first": first[heads], "last": last[heads], "trigger": trigger[heads],
+        "common": common[heads].view(np.int64), "whole": whole[heads].view(np.int64),
+        "until": last[nexts - 1], "times": nexts - heads,
     }
 
 
 def _parse(length: int):
-    names = ["id", "mark", "first", "last", "trigger", "common", "whole"]
+    names = ["id", "mark", *_PHRASE]
 
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def flush() -> pa.RecordBatch:
@@ -111,7 +121,7 @@ def _parse(length: int):
             owner = np.searchsorted(begins, found["first"], "right") - 1
             move = np.array([offset for *_, offset in held], dtype=np.int64)[owner] - begins[owner]
             columns = [np.array([x[i] for x in held], dtype=np.int64)[owner] for i in (0, 1)]
-            columns += [found[c] + move for c in ("first", "last", "trigger")] + [found["common"], found["whole"]]
+            columns += [found[c] + move if c in ("first", "last", "trigger", "until") else found[c] for c in _PHRASE]
             return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names)
 
         held: list[tuple[int, int, bytes, int]] = []
@@ -212,9 +222,10 @@ def _likely(texts: DataFrame, keys: DataFrame) -> DataFrame:
     return found.select(*texts.columns)
 
 
-def _classes(rows: DataFrame, common: str, whole: str) -> DataFrame:
+def _classes(rows: DataFrame, common: str, whole: str, times: str | None = None) -> DataFrame:
     """Of each value of `common` that occurs more than once: whether it has more than one `whole`."""
-    counts = rows.groupBy(common).agg(F.count("*").alias("n"), F.min(whole).alias("a"), F.max(whole).alias("b"))
+    n = F.sum(times) if times else F.count("*")
+    counts = rows.groupBy(common).agg(n.alias("n"), F.min(whole).alias("a"), F.max(whole).alias("b"))
     return counts.filter("n > 1").select(common, (F.col("a") != F.col("b")).alias("mixed"))
 
 
@@ -229,20 +240,21 @@ def repeated_starts(texts: DataFrame, length: int) -> DataFrame:
     """
     parsed = stage(
         texts.mapInArrow(
-            _parse(length), "id long, mark long, first long, last long, trigger long, common long, whole long"
+            _parse(length), ", ".join(f"{c} long" for c in ("id", "mark", *_PHRASE))
         ),
         "repeats-phrases",
     )
-    shared = stage(_classes(parsed, "common", "whole"), "repeats-common")
+    shared = stage(_classes(parsed, "common", "whole", "times"), "repeats-common")
     several = stage(parsed.join(shared, "common"), "repeats-several")
-    runs = [several.filter("not mixed").select("id", "mark", "first", "last")]
+    run = ["id", "mark", "first", F.col("until").alias("last")]
+    runs = [several.filter("not mixed").select(*run)]
 
     unlike = several.filter("mixed")
     place = F.struct("id", "mark", "first", "last", "trigger")
-    kinds = unlike.groupBy("common", "whole").agg(F.count("*").alias("n"), F.min(place).alias("one"))
+    kinds = unlike.groupBy("common", "whole").agg(F.sum("times").alias("n"), F.min(place).alias("one"))
     kinds = stage(kinds, "repeats-dictionary")
     alike = kinds.filter("n > 1").select("common", "whole")
-    runs.append(unlike.join(alike, ["common", "whole"]).select("id", "mark", "first", "last"))
+    runs.append(unlike.join(alike, ["common", "whole"]).select(*run))
     wanted = kinds.select("one.*", (F.col("n") == 1).alias("single")).groupBy("id", "mark").agg(
         F.collect_list(F.struct("first", "last", "trigger", "single")).alias("wanted")
     )

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ebbline.llm import repeats
 from ebbline.llm.queries import QUERIES
-from ebbline.llm.repeats import remove_repeats
+from ebbline.llm.repeats import phrases, remove_repeats
 
 
 def plain(texts, length):
@@ -77,6 +77,24 @@ def test_edited_copies_and_passages(spark, seed, monkeypatch):
     assert check(spark, texts, 64) > 0
 
 
+@pytest.mark.parametrize("unit", ["a", "ab", "abc", "a line of text that is repeated, like this\n"])
+def test_text_with_a_period_has_few_phrases(unit):
+    data = np.frombuffer((unit * 70_000)[:1 << 16].encode(), dtype=np.uint8)
+    found = phrases(data, [(0, 30_000), (30_000, len(data))], 400)
+    assert len(found["first"]) < 20
+    assert (found["until"] - found["first"] + 1).sum() == len(data) - 2 * 399  # every start is in one of them
+    assert found["times"].sum() > len(found["times"])
+
+
+def test_texts_with_periods(spark):
+    draw = np.random.default_rng(3)
+    noise = lambda n: "".join(draw.choice(list("abc"), n))
+    line = noise(42) + "\n"
+    texts = ["a" * 500, noise(50) + "a" * 41 + noise(50), "ab" * 90 + "c" + "ab" * 70, "b" + "ab" * 21, line * 9 + noise(70)]
+    texts += [noise(30) + line * 2, line[:39], "a" * 40, (noise(100) + "#") * 3 + noise(100), noise(60) + "ac" * 45]
+    assert check(spark, texts, 40) > 0
+
+
 def test_whole_table(spark, sf_dir):
     rows = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").orderBy("doc_id").collect()
     ours = sorted(tuple(r) for r in QUERIES["op3_suffix_dedup"](spark, sf_dir).collect())
