@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from sentencepiece import sentencepiece_model_pb2
 
-from ebbline.llm.tables import row_key, whole_text
+from ebbline.llm.tables import give_back_memory, row_key, whole_text
 from ebbline.workspace import stage
 
 CHUNK = 1 << 16  # characters
@@ -207,7 +207,7 @@ class Vocabulary:
         """Drop the remembered words: workers live on, and the next stage needs their memory."""
         self._words.clear()
         self._words.older = {}
-        pa.default_memory_pool().release_unused()
+        give_back_memory()
 
     def word(self, word: str, name: str) -> tuple[int, ...]:
         """Ids of a word that is encoded alone (BPE); `name` is what it is remembered by."""
@@ -588,11 +588,28 @@ def encode(docs: DataFrame, model: bytes, chunk: int = CHUNK) -> DataFrame:
     gives no rows. Other columns are not read. Characters without a piece become their bytes (or the unknown id).
     """
     shared = shared_model(docs.sparkSession, model)
+    short, long = _by_length(docs, chunk)
+    short = short.mapInArrow(_encode_short(shared), "doc_id long, ids array<int>")
+    return short.unionByName(_encode_long(long, shared, chunk))
+
+
+def round_trip(docs: DataFrame, model: bytes, chunk: int = CHUNK) -> DataFrame:
+    """doc_id, ids, text: what `decode` makes of `encode`; texts without a cut go both ways in one pass."""
+    shared = shared_model(docs.sparkSession, model)
+    short, long = _by_length(docs, chunk)
+    there, back = _encode_short(shared), _decode(shared)
+    short = short.mapInArrow(lambda batches: back(there(batches)), _DECODED)
+    return short.unionByName(decode(_encode_long(long, shared, chunk), model))
+
+
+def _by_length(docs: DataFrame, chunk: int) -> tuple[DataFrame, DataFrame]:
+    """Texts of one chunk and those of several."""
     texts = docs.select("doc_id", *row_key(), whole_text().alias("text"))
     cut_at = chunk - 1  # a model may put one space before the text
-    short = texts.filter(F.length("text") <= cut_at).select("doc_id", "text")
-    short = short.mapInArrow(_encode_short(shared), "doc_id long, ids array<int>")
-    long = texts.filter(F.length("text") > cut_at)
+    return texts.filter(F.length("text") <= cut_at).select("doc_id", "text"), texts.filter(F.length("text") > cut_at)
+
+
+def _encode_long(long: DataFrame, shared: Broadcast, chunk: int) -> DataFrame:
     chunks = long.select("id", "mark", "text").mapInArrow(_cut(shared, chunk), _CHUNKS)
     chunks = stage(chunks, "pieces-chunks")
     states = "array<array<long>>"
@@ -607,7 +624,7 @@ def encode(docs: DataFrame, model: bytes, chunk: int = CHUNK) -> DataFrame:
     traced = chunks.join(cuts, key).mapInArrow(_traced(shared), "id long, mark long, number long, ids array<int>")
     parts = F.array_sort(F.collect_set(F.struct("number", "ids")))
     whole = traced.groupBy("id", "mark").agg(F.flatten(F.transform(parts, lambda p: p["ids"])).alias("ids"))
-    return short.unionByName(long.select("doc_id", "id", "mark").join(whole, ["id", "mark"]).select("doc_id", "ids"))
+    return long.select("doc_id", "id", "mark").join(whole, ["id", "mark"]).select("doc_id", "ids")
 
 
 def decoded(vocabulary: Vocabulary, ids: list[int], has_bytes: bool = True) -> str:
@@ -621,10 +638,10 @@ def decoded(vocabulary: Vocabulary, ids: list[int], has_bytes: bool = True) -> s
     return text.removeprefix(vocabulary.prefix).replace(SPACE, " ")
 
 
-def decode(encoded: DataFrame, model: bytes) -> DataFrame:
-    """`encoded` (doc_id, ids) with the column text. Null or empty ids: the empty text."""
-    shared = shared_model(encoded.sparkSession, model)
+_DECODED = "doc_id long, ids array<int>, text string"
 
+
+def _decode(shared: Broadcast):
     def texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = vocabulary_of(shared)
         is_byte = np.zeros(len(vocabulary.pieces), dtype=bool)
@@ -638,4 +655,10 @@ def decode(encoded: DataFrame, model: bytes) -> DataFrame:
                     [part.column("doc_id"), part.column("ids"), pa.array(found, pa.string())], ["doc_id", "ids", "text"]
                 )
 
-    return encoded.select("doc_id", "ids").mapInArrow(texts, "doc_id long, ids array<int>, text string")
+    return texts
+
+
+def decode(encoded: DataFrame, model: bytes) -> DataFrame:
+    """`encoded` (doc_id, ids) with the column text. Null or empty ids: the empty text."""
+    shared = shared_model(encoded.sparkSession, model)
+    return encoded.select("doc_id", "ids").mapInArrow(_decode(shared), _DECODED)

@@ -14,7 +14,7 @@ from ebbline.llm import licences
 from ebbline.llm.hard_negatives import hard_negatives
 from ebbline.llm.lexical import ranked_documents
 from ebbline.llm.minhash import minhash_groups
-from ebbline.llm.pieces import decode, encode
+from ebbline.llm.pieces import round_trip
 from ebbline.llm.quality import quality_scores
 from ebbline.llm.repeats import remove_repeats
 from ebbline.llm.simhash import simhash_groups
@@ -132,8 +132,7 @@ def piece_model(path: str = PIECE_MODEL) -> bytes:
 
 @_query("op4_sentencepiece")
 def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
-    model = piece_model()
-    back = decode(encode(read_table(spark, sf_dir, "documents"), model), model)
+    back = round_trip(read_table(spark, sf_dir, "documents"), piece_model())
     return back.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_pieces"),

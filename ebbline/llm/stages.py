@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ebbline.llm.decontaminate import contamination
 from ebbline.llm.exact import exact_duplicates
-from ebbline.llm.pieces import decode, encode
+from ebbline.llm.pieces import round_trip
 from ebbline.llm.queries import piece_model
 from ebbline.llm.simhash import simhash_groups
 from ebbline.llm.tables import ascii_lower, read_table, whole_text
@@ -64,8 +64,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def sentencepiece(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, ids, n_pieces, n_bytes and text_sha256 of the text decoded from the ids."""
-    model = piece_model()
-    return decode(encode(docs, model), model).select(
+    return round_trip(docs, piece_model()).select(
         "doc_id",
         "ids",
         F.size("ids").cast("long").alias("n_pieces"),

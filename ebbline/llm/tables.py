@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import ctypes
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -34,3 +37,11 @@ def row_key() -> list[Column]:
         F.coalesce("doc_id", F.lit(0)).cast("long").alias("id"),
         F.xxhash64(whole_text(), F.col("doc_id").isNull()).alias("mark"),
     ]
+
+
+def give_back_memory() -> None:
+    """For the end of a task: unused memory goes back to the system, as workers live on beside those of other stages."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # the C library of most clusters has it
+    if trim:
+        trim(0)

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ebbline.llm.quality import labelled_sample
-from ebbline.llm.tables import whole_text
+from ebbline.llm.tables import give_back_memory, whole_text
 from ebbline.workspace import stage
 
 # Terms for groups of people; the terms of one line can stand for each other.
@@ -135,7 +135,7 @@ def _examples(terms):
                     swapped.append(None if other is None else of_words(other))
                 lists = [pa.array(x, pa.list_(pa.int32())) for x in (plain, swapped)]
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("label"), *lists], names)
-        pa.default_memory_pool().release_unused()  # workers live on, and the next stage needs the memory
+        give_back_memory()
 
     return make
 
@@ -251,6 +251,6 @@ def score_column(spark: SparkSession, classifier: Classifier):
         scorer = Classifier(*model.value).scorer()
         for batch in texts:
             yield pd.Series([scorer(t) for t in batch], dtype="float64")
-        pa.default_memory_pool().release_unused()
+        give_back_memory()
 
     return score

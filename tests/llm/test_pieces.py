@@ -5,7 +5,7 @@ import sentencepiece
 from pyspark.sql import functions as F
 from sentencepiece import sentencepiece_model_pb2
 
-from ebbline.llm.pieces import SPACE, Chunk, Vocabulary, combine, decode, encode, states_at_cuts
+from ebbline.llm.pieces import SPACE, Chunk, Vocabulary, combine, decode, encode, round_trip, states_at_cuts
 from ebbline.llm.queries import piece_model
 
 MODEL = piece_model()
@@ -90,18 +90,17 @@ def test_tables(spark, vocabulary):
     docs = spark.createDataFrame(rows, "doc_id long, text string").withColumns(
         {c: F.lit(1) for c in ("ids", "id", "mark", "number", "size")}
     )
-    back = decode(encode(docs, MODEL, chunk=1024), MODEL).collect()
     order = lambda r: (r[0] is None, r[0] or 0, r[2], r[1])
-    assert sorted(map(tuple, back), key=order) == sorted(
-        ((i, library.encode(t or ""), t or "") for i, t in rows), key=order
-    )
-    assert encode(docs.limit(0), MODEL).count() == 0
+    wanted = sorted(((i, library.encode(t or ""), t or "") for i, t in rows), key=order)
+    for back in (decode(encode(docs, MODEL, chunk=1024), MODEL), round_trip(docs, MODEL, chunk=1024)):
+        assert sorted(map(tuple, back.collect()), key=order) == wanted
+    assert encode(docs.limit(0), MODEL).count() == round_trip(docs.limit(0), MODEL).count() == 0
 
 
 def test_whole_table_round_trip(spark, sf_dir):
     library = sentencepiece.SentencePieceProcessor(model_proto=MODEL)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     wanted = {r.doc_id: r.text for r in docs.collect()}
-    for row in decode(encode(docs, MODEL), MODEL).collect():
+    for row in round_trip(docs, MODEL).collect():
         assert row.text == wanted.pop(row.doc_id) and row.ids == library.encode(row.text)
     assert not wanted
