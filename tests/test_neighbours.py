@@ -166,3 +166,36 @@ def test_vectors_without_numbers_are_left_out(spark):
     df = spark.createDataFrame(rows, "id long, v array<double>")
     near = knn.KnnIndex.fit(df, "id", "v").neighbours(df, "id", "v", 2, other_than_self=True).collect()
     assert {(r.id, r.neighbour) for r in near} == {(1, 2), (1, 6), (2, 1), (2, 6), (6, 1), (6, 2)}
+
+
+def test_queries_travel_to_packs_not_to_cells(spark):
+    rng = np.random.default_rng(4)
+    points = rng.normal(size=(1_500, 12))  # no clusters: hardly a cell can be ruled out
+    df = spark.createDataFrame([(i, p.tolist()) for i, p in enumerate(points)], "id long, v array<double>")
+    cells = knn.KnnIndex.fit(df, "id", "v").cells
+    assert len(cells.rows) > 10 and cells.blocks().tolist() == [1]
+
+
+@pytest.mark.parametrize("metric", ["euclidean", "manhattan"])
+def test_boxes_rule_out_packs_exactly(metric):
+    rng = np.random.default_rng(6)
+    marks = rng.integers(0, 2, size=(3_000, 10)) * 1.0  # indicators beside two numbers
+    donors = np.hstack([marks[rng.integers(0, 12, 3_000)], rng.normal(size=(3_000, 2))])
+    pivots = donors[:100]
+    cell = knn._nearest_pivot(donors, pivots, metric)
+    rows = np.bincount(cell, minlength=100)
+    low = np.array([donors[cell == i].min(axis=0) if rows[i] else np.zeros(12) for i in range(100)])
+    high = np.array([donors[cell == i].max(axis=0) if rows[i] else np.zeros(12) for i in range(100)])
+    cells = knn.Cells(pivots, rows, np.zeros(100), [[]] * 100, metric, low, high, 200)
+    queries = donors[:50] + 0.01
+    home, names = cells.home(queries), np.arange(len(donors))
+    pack, everywhere = cells.pack[cell], np.full(50, np.inf)
+    away = knn.distances(queries, donors, metric)
+    i, j, found = knn.nearest_in_pack(queries, np.arange(50), home, everywhere, donors, names, cell, cells, 4, False)
+    assert np.bincount(i).tolist() == [4] * 50
+    np.testing.assert_allclose(found.reshape(50, 4), np.sort(away, axis=1)[:, :4], atol=1e-9)
+    limit = np.sort(away, axis=1)[:, 3]
+    visited = cells.packs_within(queries, limit, home)
+    assert sum(map(len, visited)) < 0.5 * 50 * (pack.max() + 1)
+    for q in range(50):
+        assert set(pack[np.argsort(away[q])[:4]]) <= {*visited[q], cells.pack[home[q]]}
