@@ -123,3 +123,49 @@ def test_saved_trees_are_the_same(spark, rows):
     grown.save(spark, path)
     loaded = Trees.load(spark, path)
     assert all(np.array_equal(a, b) for a, b in zip(grown.arrays(), loaded.arrays()))
+
+
+def test_fits_pass_over_no_more_partitions_than_cores():
+    from ebbline.plans.training import fit_partitions
+
+    assert fit_partitions(1_500, 12) == 1
+    assert fit_partitions(900_000, 12) == 12
+    assert fit_partitions(5_400_000, 12) == 12  # it was 108, each with a result a pass
+    assert fit_partitions(60_000_000, 12) == 120
+
+
+def test_large_trees_grow_two_at_a_time(spark, monkeypatch):
+    import threading
+    from multiprocessing.pool import ThreadPool
+
+    from ebbline.plans import models
+
+    running, most, lock = 0, 0, threading.Lock()
+
+    class Slow:
+        def fit(self, train):
+            nonlocal running, most
+            with lock:
+                running += 1
+                most = max(most, running)
+            threading.Event().wait(0.05)
+            with lock:
+                running -= 1
+
+    monkeypatch.setattr(models.Trees, "of_model", classmethod(lambda cls, spark, model: None))
+    family = models.SharedTrees(lambda point, rows: Slow())
+    rows = spark.range(1)
+    with ThreadPool(8) as pool:
+        pool.map(lambda _: family.grow({"max_depth": None}, rows, 1), range(8), chunksize=1)
+    assert most <= 2
+
+
+def test_descent_in_one_tree_and_in_many_agree():
+    from ebbline.plans.trees import Trees
+
+    grown = Trees(
+        np.array([0, 3]), np.array([1, -1, -1, -1]), np.array([2, -1, -1, -1]), np.array([1, 0, 0, 0]),
+        np.array([0.5, 0, 0, 0]), np.array([3, 1, 2, 3]), np.array([0.3, 0.1, 0.4, 0.2]), np.array([0, 1, 1, 0]),
+    )
+    matrix = np.array([[9.0, 0.5], [9.0, 0.6], [9.0, np.nan]])
+    assert grown.leaves(matrix).tolist() == [[1, 3], [2, 3], [2, 3]]
