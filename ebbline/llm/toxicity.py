@@ -45,9 +45,9 @@ LEAST_ROWS = 3  # labelled rows that a feature must occur in
 LEAST_Z = 4.0  # how far from chance a feature's share of toxic rows must be
 _HASH_BITS = 30
 _MEMO_WORDS = 50_000
-_MEMO_LISTS = 10_000  # words whose features are all remembered, some 20 numbers each
 _MEMO_LETTERS = 40  # longer words are not remembered
 _ROWS_AT_ONCE = 64
+_WORDS_AT_ONCE = 4_096  # words whose runs are hashed together
 _SHORT, _LONG = 4, 6
 _WORD = re.compile(r"\w+")
 
@@ -63,6 +63,45 @@ def word_features(word: str) -> list[int]:
     return [_hashed(f) for f in runs | {marked}]
 
 
+def _crc_steps() -> np.ndarray:
+    steps = np.arange(256, dtype=np.uint32)
+    for _ in range(8):
+        steps = np.where(steps & 1, (steps >> 1) ^ np.uint32(0xEDB88320), steps >> 1)
+    return steps
+
+
+_CRC_STEPS = _crc_steps()
+
+
+def hashed_features(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """(feature, number of its word) of the `word_features` of all words, repeats included; the runs that begin at
+    all characters are hashed together, each one character longer than the one before."""
+    marked = [f"<{word}>" for word in words]
+    data = np.frombuffer("".join(marked).encode("utf-8", "surrogatepass"), dtype=np.uint8)
+    begin = np.flatnonzero((data & 0xC0) != 0x80)  # of every character
+    size = np.diff(np.append(begin, len(data)))
+    widest = int(size.max(initial=0))
+    lengths = np.array([len(m) for m in marked], dtype=np.int64)
+    owner = np.repeat(np.arange(len(words)), lengths)
+    at, end = np.arange(len(begin)), np.repeat(np.cumsum(lengths), lengths)
+    state = np.full(len(begin), 0xFFFFFFFF, dtype=np.uint32)
+    found = [np.array([_hashed(m) for m in marked], dtype=np.int32)]
+    of = [np.arange(len(words))]
+    for n in range(1, _LONG + 1):
+        inside = at + n <= end
+        at, end, state = at[inside], end[inside], state[inside]
+        char = at + (n - 1)
+        first = begin[char]
+        state = _CRC_STEPS[(state ^ data[first]) & 255] ^ (state >> 8)
+        for byte in range(1, widest):
+            more = np.flatnonzero(size[char] > byte)
+            state[more] = _CRC_STEPS[(state[more] ^ data[first[more] + byte]) & 255] ^ (state[more] >> 8)
+        if n >= _SHORT:
+            found.append((~state & np.uint32((1 << _HASH_BITS) - 1)).astype(np.int32))
+            of.append(owner[at])
+    return np.concatenate(found), np.concatenate(of)
+
+
 def text_words(text: str) -> set[str]:
     """The distinct words: a text is as toxic as what occurs in it, however long it is."""
     return set(_WORD.findall(text.lower()))
@@ -87,18 +126,37 @@ class Classifier:
         """A function from text to score; it remembers which weighted features a word has."""
         memo: dict[str, tuple[int, ...]] = {}
         weights = self.weights
+        known = np.array(sorted(weights) or [-1], dtype=np.int32)
+        likely = np.zeros(1 << 16, dtype=bool)  # by the last bits; rules out most features at once
+        likely[known & 0xFFFF] = True
+
+        def look_up(words: list[str], found: set[int]) -> None:
+            features, of = hashed_features(words)
+            few = np.flatnonzero(likely[features & 0xFFFF])
+            features, of = features[few], of[few]
+            held = known[np.minimum(np.searchsorted(known, features), len(known) - 1)] == features
+            features, of = features[held].tolist(), of[held].tolist()
+            found.update(features)
+            if len(memo) + len(words) > _MEMO_WORDS:
+                memo.clear()
+            lists: dict[int, list[int]] = {}
+            for feature, number in zip(features, of):
+                lists.setdefault(number, []).append(feature)
+            for number, word in enumerate(words):
+                if len(word) <= _MEMO_LETTERS:
+                    memo[word] = tuple(lists[number]) if number in lists else ()
 
         def score(text: str) -> float:
             found: set[int] = set()
+            unknown = []
             for word in text_words(text):
                 features = memo.get(word)
                 if features is None:
-                    if len(memo) >= _MEMO_WORDS:
-                        memo.clear()
-                    features = tuple(f for f in word_features(word) if f in weights)
-                    if len(word) <= _MEMO_LETTERS:
-                        memo[word] = features
-                found.update(features)
+                    unknown.append(word)
+                elif features:
+                    found.update(features)
+            for begin in range(0, len(unknown), _WORDS_AT_ONCE):
+                look_up(unknown[begin:begin + _WORDS_AT_ONCE], found)
             total = self.bias + sum(weights[f] for f in sorted(found))
             return float(1 / (1 + np.exp(-np.clip(total, -40, 40))))
 
@@ -109,20 +167,13 @@ def _examples(terms):
     names = ["doc_id", "label", "plain", "swapped"]
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo: dict[str, np.ndarray] = {}
-
-        def of_word(word: str) -> np.ndarray:
-            found = memo.get(word)
-            if found is None:
-                found = np.array(word_features(word), dtype=np.int32)
-                if len(word) <= _MEMO_LETTERS:
-                    if len(memo) >= _MEMO_LISTS:
-                        memo.clear()
-                    memo[word] = found
-            return found
-
         def of_words(words: set[str]) -> np.ndarray:
-            return np.unique(np.concatenate([of_word(w) for w in words])) if words else np.empty(0, np.int32)
+            listed = list(words)
+            parts = [
+                np.unique(hashed_features(listed[begin:begin + _WORDS_AT_ONCE])[0])
+                for begin in range(0, len(listed), _WORDS_AT_ONCE)
+            ]
+            return np.unique(np.concatenate(parts)) if parts else np.empty(0, np.int32)
 
         for whole in batches:
             for begin in range(0, whole.num_rows, _ROWS_AT_ONCE):

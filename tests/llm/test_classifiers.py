@@ -2,11 +2,12 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
+from ebbline.llm import toxicity
 from ebbline.llm.queries import QUERIES
 from ebbline.llm.quality import FEATURES, Buckets, quality_scores, train_network
 from ebbline.llm.tables import held_out_remainder
 from ebbline.llm.toxicity import (
-    _examples, _only, fit_toxicity, swap_terms, text_words, toxicity_scores, word_features,
+    _examples, _only, fit_toxicity, hashed_features, swap_terms, text_words, toxicity_scores, word_features,
 )
 
 
@@ -111,3 +112,23 @@ def test_edges(spark):
         assert scores(odd.limit(0), known).count() == 0
     assert odd.filter(held_out_remainder().isNull()).count() == 2
     assert len(Buckets()("a a, 12 34 a%%")) == 7
+
+
+def test_runs_hashed_together_are_the_features_of_the_words():
+    words = ["a", "", "word", "naïve", "日本語の言葉", "a😀b😀cdé", "x" * 100, "word"]
+    features, of = hashed_features(words)
+    for number, word in enumerate(words):
+        assert set(features[of == number].tolist()) == set(word_features(word))
+    assert [len(part) for part in hashed_features([])] == [0, 0]
+
+
+def test_scores_do_not_depend_on_what_is_remembered(monkeypatch):
+    texts = [" ".join(f"{stem}{i % 37}" for i in range(n)) for n, stem in ((5, "wort"), (90, "école"), (60, "wort"), (0, ""))]
+    weights = {f: 0.01 * (f % 19 - 9) for w in ("wort3", "école8", "wort30") for f in word_features(w)}
+    plain = [sum(weights[f] for f in sorted({f for w in text_words(t) for f in word_features(w)} & weights.keys())) for t in texts]
+    wanted = [float(1 / (1 + np.exp(-(x - 0.5)))) for x in plain]
+    for most in (50_000, 3):
+        monkeypatch.setattr(toxicity, "_MEMO_WORDS", most)
+        monkeypatch.setattr(toxicity, "_WORDS_AT_ONCE", most)
+        score = toxicity.Classifier(weights, -0.5).scorer()
+        assert np.allclose([score(t) for t in texts + texts], wanted + wanted, atol=1e-12)
