@@ -1,4 +1,5 @@
 import json
+from threading import Event
 from types import SimpleNamespace
 
 import pytest
@@ -38,6 +39,28 @@ def test_short_points_lie_inside_the_full_grids():
     assert all(spec.short and all(point in spec.full for point in spec.short) for spec in models.SPECS)
 
 
+def test_fits_that_need_no_search_run_beside_the_searches(monkeypatch):
+    begun, fitted = Event(), []
+
+    class Searched(Exception):
+        pass
+
+    def fit_on_all(spec, point, train):
+        fitted.append((spec.name, point))
+        if len(fitted) == 3:
+            begun.set()
+
+    def cross_validate_all(specs, train, grid="short"):
+        raise Searched(begun.wait(20))
+
+    monkeypatch.setattr(training, "fit_on_all", fit_on_all)
+    monkeypatch.setattr(training, "cross_validate_all", cross_validate_all)
+    with pytest.raises(Searched, match="True"):
+        training.train_models(SimpleNamespace(train=None))
+    long = ("XGBoost", "Gradient Boosting", "LightGBM")
+    assert sorted(fitted, key=str) == sorted(((n, models.BY_NAME[n].short[0]) for n in long), key=str)
+
+
 def test_registered_queries_train_every_model(monkeypatch):
     asked = []
 
