@@ -323,21 +323,20 @@ _MI = """binned AS (
            sum(n_xy) OVER (PARTITION BY feature, "Churn") AS n_y FROM cell_counts) AS shares GROUP BY 1)"""
 
 
-def _label_counts(spark, sf_dir):
-    rows = feature_rows(spark, sf_dir)
+def _label_counts(rows):
     return select.counts_by_label(rows, prep.numeric_features(rows), TARGET)
 
 
 @register("anova_f_scores", over_base(
     f"SELECT feature, {r6_sql('score')} AS score FROM anova", *_TO_FEATURES, _CELLS, _MEANS, _F))
 def anova_f_scores(spark, sf_dir):
-    return rounded(select.anova_f(_label_counts(spark, sf_dir)), ["score"])
+    return rounded(select.anova_f(_label_counts(feature_rows(spark, sf_dir))), ["score"])
 
 
 @register("mutual_information", over_base(
     f"SELECT feature, {r6_sql('score')} AS score FROM information", *_TO_FEATURES, _CELLS, _MI))
 def mutual_information(spark, sf_dir):
-    return rounded(select.mutual_information(_label_counts(spark, sf_dir)), ["score"])
+    return rounded(select.mutual_information(_label_counts(feature_rows(spark, sf_dir))), ["score"])
 
 
 _TOP = """SELECT feature FROM (SELECT feature, row_number() OVER (
@@ -361,8 +360,12 @@ _VOTE_PARTS = [
 
 @register("feature_votes", over_base(_VOTES, *_VOTE_PARTS))
 def feature_votes(spark, sf_dir):
+    return _voted(feature_rows(spark, sf_dir))
+
+
+def _voted(rows):
     """The vote over F scores, mutual information and two further rankings that SQL can state."""
-    counts = training.stage(_label_counts(spark, sf_dir), "label-counts")
+    counts = training.stage(_label_counts(rows), "label-counts")
 
     def nine(scores):
         return select.top_features(scores.withColumn("score", F.round("score", 9)))
@@ -387,7 +390,7 @@ FROM ({_VOTES}) AS v QUALIFY place <= 15""", *_VOTE_PARTS))
 def feature_vote_report(spark, sf_dir):
     """The 15 features with most votes, how many are kept, and by how much the table narrows."""
     rows = feature_rows(spark, sf_dir)
-    report = select.vote_report(feature_votes(spark, sf_dir), len(prep.numeric_features(rows)))
+    report = select.vote_report(_voted(rows), len(prep.numeric_features(rows)))
     return report.withColumn("reduction_percent", F.round("reduction_percent", 6))
 
 

@@ -3,6 +3,8 @@ import pytest
 
 import __spark_entry__ as entry
 from check_oracle import TABLES, compare
+from ebbline.catalog import prepare_queries
+from ebbline.plans import features as prep
 
 # Cheap queries of every kind; `python check_oracle.py` compares all of them.
 SAMPLE = [
@@ -31,3 +33,11 @@ def test_entry(spark):
 def test_query_equals_oracle(spark, db, sf_dir, name):
     verdict = compare(spark, db, name, entry.queries()[name], entry.oracle_sql()[name], sf_dir)
     assert verdict.endswith("ok"), verdict
+
+
+def test_vote_report_prepares_the_rows_once(spark, sf_dir, monkeypatch):
+    fitted = []
+    fit = prep.FeaturePipeline.fit
+    monkeypatch.setattr(prep.FeaturePipeline, "fit", lambda df: fitted.append(df) or fit(df))
+    assert prepare_queries.feature_vote_report(spark, sf_dir).count() == 15
+    assert len(fitted) == 1
