@@ -1,10 +1,15 @@
+import subprocess
+import sys
+
 import numpy as np
 import pytest
+from pyspark import cloudpickle
 from pyspark.ml.classification import DecisionTreeClassifier, GBTClassifier, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
+from ebbline.plans import extra_trees
 from ebbline.plans.extra_trees import ExtraTreesGrower
 from ebbline.plans.models import scored
 from ebbline.plans.trees import Cut, Trees, cut_probabilities
@@ -169,3 +174,12 @@ def test_descent_in_one_tree_and_in_many_agree():
     )
     matrix = np.array([[9.0, 0.5], [9.0, 0.6], [9.0, np.nan]])
     assert grown.leaves(matrix).tolist() == [[1, 3], [2, 3], [2, 3]]
+
+
+@pytest.mark.parametrize("sent", [Trees, extra_trees._ranges(None), extra_trees._counts(None)])
+def test_tasks_need_no_installed_package(tmp_path, sent):
+    held = tmp_path / "task"
+    held.write_bytes(cloudpickle.dumps(sent))
+    read = "import sys; from pyspark import cloudpickle; cloudpickle.loads(open(sys.argv[1], 'rb').read())"
+    done = subprocess.run([sys.executable, "-c", read, str(held)], cwd=tmp_path, env={}, capture_output=True, text=True)
+    assert done.returncode == 0, done.stderr
