@@ -1,5 +1,5 @@
 import json
-from threading import Event
+from threading import Barrier, Event
 from types import SimpleNamespace
 
 import pytest
@@ -61,6 +61,25 @@ def test_fits_that_need_no_search_run_beside_the_searches(monkeypatch):
     assert sorted(fitted, key=str) == sorted(((n, models.BY_NAME[n].short[0]) for n in long), key=str)
 
 
+def test_all_fits_of_many_rounds_begin_at_once(spark):
+    together = Barrier(10)
+
+    class Rounds(models.Alone):
+        sequential = True
+
+        def candidates(self, points, train, rows, held_out):
+            together.wait(60)
+            return held_out.select(F.lit(str(points[0])).alias("model"), "key", "label", F.lit(0.5).alias("probability"))
+
+    specs = [models.ModelSpec(name, Rounds(None), [{"n": 1}], [{"n": 1}]) for name in ("first", "second")]
+    rows = spark.range(20).select(
+        F.col("id").alias("key"), (F.col("id") % 2).cast("int").alias("label"), (F.floor(F.col("id") / 2) % 5).alias("fold")
+    )
+    found = training.cross_validate_all(specs, rows)
+    for name in ("first", "second"):
+        assert found[name] == ([(name, "{'n': 1}", 5, 0.5, None)], {"n": 1})
+
+
 def test_registered_queries_train_every_model(monkeypatch):
     asked = []
 
