@@ -144,6 +144,9 @@ def _asked(monkeypatch, name):
     return found.value.args
 
 
-@pytest.mark.parametrize("query, model", [("model_gbt", "Gradient Boosting"), ("model_gbt_variants", "XGBoost"), ("model_forest", "Random Forest")])
+@pytest.mark.parametrize("query, model", [
+    ("model_forest", "Random Forest"), ("model_gbt", "Gradient Boosting"), ("model_extra_trees", "Extra Trees"),
+    ("model_gbt_variants", "XGBoost"),
+])
 def test_model_queries_search_the_full_grid(monkeypatch, query, model):
     assert _asked(monkeypatch, query) == (model, "full")
