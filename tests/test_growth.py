@@ -150,3 +150,11 @@ def _asked(monkeypatch, name):
 ])
 def test_model_queries_search_the_full_grid(monkeypatch, query, model):
     assert _asked(monkeypatch, query) == (model, "full")
+
+
+def test_cv_results_have_the_full_grids(monkeypatch):
+    asked = []
+    monkeypatch.setattr(training, "train_models", lambda data, names=None, grid="short": asked.append((names, grid)) or SimpleNamespace(cv="rows"))
+    monkeypatch.setattr(model_queries, "prepared", lambda *_: "a training set")
+    assert model_queries.cv_results(None, "sf") == model_queries.cv_results_full_grids(None, "sf") == "rows"
+    assert asked == [(None, "full")]
