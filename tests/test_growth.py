@@ -63,7 +63,10 @@ def test_counting_features_together_or_alone_and_in_parts_is_the_same(table, mon
     x, y = table
     value = y if gini else x[:, 0] * x[:, 3] + y
     grown = []
-    for joint, cells, slots in ((1024, 1 << 18, 8192), (1, 1 << 18, 8192), (1024, 0, 8192), (1024, 1 << 18, 3)):
+    for joint, cells, slots, few in (
+        (1024, 1 << 18, 8192, 0), (1, 1 << 18, 8192, 0), (1024, 0, 8192, 0), (1024, 1 << 18, 3, 0), (1024, 1 << 18, 8192, 128),
+    ):
+        monkeypatch.setattr(growth, "_FEW_SLOTS", few)
         monkeypatch.setattr(growth, "_TABLE_CELLS", cells)
         monkeypatch.setattr(growth, "_SLOTS_AT_ONCE", slots)
         grown.append(growth.grow(growth.Binned(x, joint_cells=joint), value, None, None, 8, gini=gini))
@@ -97,9 +100,9 @@ def test_cuts_of_a_forest_grown_in_parts(spark, rows, monkeypatch):
     train, held_out = rows.where("fold = 0"), rows.where("fold = 1")
     held_out = held_out.unionByName(held_out.limit(5)).withColumn("key", F.when(F.col("key") > 9, F.col("key")))  # keys twice and none
     cuts = [Cut(f"{n} {d} {s}", n, d, s) for n in (4, 7) for d, s in ((3, 2), (None, 20))]
-    found = stage(growth.forest_candidates(train, held_out, cuts, 30, 2, "class_weight", 42), "found")
+    found = stage(growth.forest_candidates(train, 1_000_000, held_out, cuts, 30, 2, "class_weight", 42), "found")
     assert {r["model"]: r["count"] for r in found.groupBy("model").count().collect()} == {c.name: 305 for c in cuts}
-    whole = growth.forest_in_task(train, 7, 30, 2, "class_weight", 42)
+    whole = growth.forest_in_task(train, 1_000_000, 7, 30, 2, "class_weight", 42)
     assert len(whole.root) == 7
     matrix = np.array([r["at"] for r in held_out.collect()])
     for c in cuts:
@@ -110,7 +113,8 @@ def test_cuts_of_a_forest_grown_in_parts(spark, rows, monkeypatch):
 
 
 def test_forest_parts_end_where_a_cut_ends():
-    assert growth.forest_chunks([12, 25, 12]) == [(0, 10), (10, 12), (12, 22), (22, 25)]
+    assert growth.forest_chunks([12, 25, 12], 500_000) == [(0, 10), (10, 12), (12, 22), (22, 25)]
+    assert growth.forest_chunks([100, 300], 1_000) == [(0, 100), (100, 200), (200, 300)]
 
 
 def test_large_fits_stay_with_spark(rows, monkeypatch):
