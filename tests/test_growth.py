@@ -133,6 +133,24 @@ def test_in_task_growth_needs_no_installed_package(tmp_path):
     assert done.returncode == 0, done.stderr
 
 
+def test_points_of_a_metric_share_one_pass_over_the_neighbours(spark, monkeypatch):
+    listed = [(key, rank, d, float(y)) for key, found in ((1, [(0.0, 1), (0.0, 0), (2.0, 1), (3.0, 1)]), (2, [(0.5, 1), (1.0, 0), (4.0, 0)]))
+              for rank, (d, y) in enumerate(found, 1)]
+    near = stage(spark.createDataFrame(listed, "key long, rank int, distance double, label double"), "near")
+    held_out = spark.createDataFrame([(1, 1.0), (2, 0.0)], "key long, label double").withColumn("features", array_to_vector(F.array(F.lit(0.0))))
+    index = SimpleNamespace(neighbours=lambda *_: near)
+    monkeypatch.setattr(models.SharedNeighbours, "fit", lambda *_: SimpleNamespace(index=index))
+    points = [{"n_neighbors": k, "weights": w, "metric": "euclidean"} for k in (1, 3, 4) for w in ("uniform", "distance")]
+    found = models.SharedNeighbours().candidates(points, held_out, 2, held_out)
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("Aggregate") == 1  # it was three a point
+    got = {(r["model"], r["key"]): r["probability"] for r in found.collect()}
+    for p in points:
+        wanted = models.positive_share(near.where(F.col("rank") <= p["n_neighbors"]), p["weights"])
+        for r in wanted.collect():
+            assert got[str(p), r["key"]] == pytest.approx(r["probability"], abs=1e-12)
+    assert len(got) == 12
+
+
 def _asked(monkeypatch, name):
     """The grid that a model query searches."""
     class Searched(Exception):
