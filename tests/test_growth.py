@@ -125,6 +125,14 @@ def test_large_fits_stay_with_spark(rows, monkeypatch):
     assert isinstance(family.fit(point, rows, ROWS - 1), Trees)
 
 
+def test_a_chosen_boosted_model_of_few_rows_is_that_of_spark(rows, monkeypatch):
+    point = {"n_estimators": 2, "learning_rate": 0.1, "max_depth": 2, "subsample": 1.0}
+    spec = models.BY_NAME["Gradient Boosting"]
+    assert not isinstance(training.fit_on_all(spec, point, rows), Trees)
+    monkeypatch.setattr(growth, "EXACT_ROWS", ROWS - 1)
+    assert isinstance(training.fit_on_all(spec, point, rows), Trees)
+
+
 def test_in_task_growth_needs_no_installed_package(tmp_path):
     held = tmp_path / "task"
     held.write_bytes(cloudpickle.dumps((growth.boost, growth.grow_forest, ExtraTreesGrower(2))))
